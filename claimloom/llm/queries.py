@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import incremental, survivor
+from claimloom.llm import incremental, mapping, packing, survivor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +27,20 @@ def p5_golden_records(spark: SparkSession, d: str) -> DataFrame:
     return survivor.golden_records(_t(spark, d, "organization"), _t(spark, d, "claim"), _t(spark, d, "source_trust"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return mapping.typed_verdicts_and_predicates(*(_t(spark, d, t) for t in ("review", "claim", "verdikt_list", "predicate_list")))
+
+
+def p6_assignment(spark: SparkSession, d: str) -> DataFrame:
+    return packing.assign(packing.count_tokens(_t(spark, d, "documents")), _t(spark, d, "container_kind"))
+
+
+def p6_container_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.container_report(p6_assignment(spark, d), _t(spark, d, "container_kind"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p5_found, p5_golden_records)}
+    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p5_golden_records, p6_assignment, p6_container_report)}
 
 
 def oracle_sql() -> dict[str, str]:
