@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import incremental, mapping, packing, survivor
+from claimloom.llm import contamination, incremental, mapping, packing, readability, survivor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +39,20 @@ def p6_container_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.container_report(p6_assignment(spark, d), _t(spark, d, "container_kind"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.leaked_items(_t(spark, d, "documents"), _t(spark, d, "eval_item"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return readability.reading_levels(_t(spark, d, "documents"), _t(spark, d, "reading_label"))
+
+
+def p8_profile(spark: SparkSession, d: str) -> DataFrame:
+    return readability.level_profile(p8_found(spark, d), _t(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p5_golden_records, p6_assignment, p6_container_report)}
+    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p5_golden_records, p6_assignment, p6_container_report, p7_found, p8_found, p8_profile)}
 
 
 def oracle_sql() -> dict[str, str]:
