@@ -28,6 +28,7 @@ def get_session(app: str = "claimloom", cores: str = "*", **conf: str) -> SparkS
         .config("spark.sql.shuffle.partitions", conf.pop("shuffle_partitions", "8"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
         .config("spark.driver.host", "127.0.0.1")
     )
