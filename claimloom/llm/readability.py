@@ -164,9 +164,9 @@ class _Rated(_Batch):
         return np.bincount(self.doc, weights=of_word[self.code] * self.count, minlength=self.n_docs)
 
     def shares(self) -> np.ndarray:
-        m = np.zeros((self.n_docs, len(self.vocabulary)))
-        m[self.doc, self.code] = self.count
-        return m / np.maximum(self.n, 1)[:, None]
+        m = np.zeros((self.n_docs, len(self.vocabulary)), dtype=np.float32)
+        m[self.doc, self.code] = self.count / np.maximum(self.n, 1)[self.doc]
+        return m
 
 
 def fit_level_model(rows: list, ranks: list[dict[str, int]], ridge: float = 0.5, word_weight: float = 8.0, min_docs: int = 3, folds: int = 5, lowest: int = 1, highest: int = 4) -> LevelModel:
@@ -181,10 +181,11 @@ def fit_level_model(rows: list, ranks: list[dict[str, int]], ridge: float = 0.5,
     f = x.features(ranks)
     mean, scale = f.mean(0), f.std(0) + 1e-9
     seen = np.bincount(x.code, minlength=len(x.vocabulary)) >= min_docs
-    b = x.shares()[:, seen] * word_weight
+    b = x.shares()[:, seen] * np.float32(word_weight)
     bm = b.mean(0)
-    a = np.column_stack([(f - mean) / scale * 0.3, b - bm])
-    kernel = a @ a.T
+    a = np.column_stack([((f - mean) / scale * 0.3).astype(np.float32), b - bm])
+    del b
+    kernel = (a @ a.T).astype(np.float64)
 
     def solve(tr: np.ndarray) -> tuple[float, np.ndarray]:
         w = np.ones(len(tr))
@@ -218,7 +219,7 @@ def fit_level_model(rows: list, ranks: list[dict[str, int]], ridge: float = 0.5,
     return LevelModel(ranks, mean, scale, coef[:nf] * 0.3, start, lowest, highest, dict(zip(words, coef[nf:].tolist())), word_weight)
 
 
-def reading_levels(docs: DataFrame, labels: DataFrame, min_words: int = 80, max_labels: int = 4000) -> DataFrame:
+def reading_levels(docs: DataFrame, labels: DataFrame, min_words: int = 80, max_labels: int = 2000) -> DataFrame:
     """``(doc_id, reading_level)`` for every document of at least ``min_words`` words split at white space.
 
     Null and short texts give no row; a null doc_id gives a row with a null id.  ``max_labels`` bounds the rated
