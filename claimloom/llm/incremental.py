@@ -139,7 +139,8 @@ class BatchDeduplicator:
         hashes = classes.where("h is not null").select("h").distinct()
         old = self.spark.table(f"{self.table}_parts").withColumnRenamed("h", "old")
         by_hash = (
-            self._parts(hashes).join(old, "part").where(self._close("h", "old")).groupBy("h").agg(F.min(before).alias("hit")).join(classes, "h").select("rep", "hit")
+            # bucket-local: the keys are many times the hashes that the planner sees, so no broadcast
+            self._parts(hashes).hint("merge").join(old, "part").where(self._close("h", "old")).groupBy("h").agg(F.min(before).alias("hit")).join(classes, "h").select("rep", "hit")
         )
         hits = by_content.union(by_hash).groupBy("rep").agg(F.min("hit").alias("hit")).select("rep", F.col("hit.owner").alias("accepted_id"))
         state = materialize(classes.join(hits, "rep", "left"), "state")
@@ -147,7 +148,7 @@ class BatchDeduplicator:
         open_ = state.where("accepted_id is null").select("rep", "content", "h")
         parts = self._parts(open_.where("h is not null").select("h").distinct())
         other = parts.select("part", F.col("h").alias("h2"))
-        near = materialize(parts.join(other, "part").where(self._close("h", "h2")).select("h", "h2").distinct(), "near")
+        near = materialize(parts.hint("merge").join(other, "part").where(self._close("h", "h2")).select("h", "h2").distinct(), "near")
         nothing = F.lit(None).cast("bigint").alias("accepted_id")
         while True:
             first_c = open_.where("content is not null").groupBy("content").agg(F.min("rep").alias("first_c"))

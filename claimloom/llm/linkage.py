@@ -98,7 +98,8 @@ def close_vectors(left: DataFrame, right: DataFrame, radius: int, bands: int, ma
     if bands - match < radius:
         raise ValueError("the search is exact up to bands - match bits only")
     key = lambda t, c: t.select(c, F.explode(stripe_keys(F.col(c), bands, match)).alias("key"))
-    near = key(left, "a").join(key(right, "b"), "key").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
+    # the keys are many times the vectors that the planner sees: never broadcast them
+    near = key(left, "a").hint("merge").join(key(right, "b"), "key").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
     return near.select("a", "b").distinct()
 
 

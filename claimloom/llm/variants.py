@@ -36,7 +36,8 @@ def similar_strings(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Both sides hold different strings only, so a string that many rows share costs one lookup.
     """
-    pairs = neighbourhood(left, "a").join(neighbourhood(right, "b"), "key").select("a", "b").distinct()
+    # the keys are many times the strings that the planner sees: never broadcast them
+    pairs = neighbourhood(left, "a").hint("merge").join(neighbourhood(right, "b"), "key").select("a", "b").distinct()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
