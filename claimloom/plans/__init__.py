@@ -1 +1 @@
-
+"""The registry of queries and their SQL."""
