@@ -45,15 +45,16 @@ def picture_address(c: Column) -> Column:
     query = F.regexp_extract(rest, r"\?(.*)$", 1)
     host = F.lower(F.regexp_extract(addr, r"^([^/]*)", 1))
     host = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"\.?(?::(?:80|443))?$", ""), r"^www\d?\.", "")
-    segments = F.split(_decoded(F.regexp_extract(addr, r"^[^/]*/?(.*)$", 1)), "/")
-    path = F.aggregate(
-        segments,
+    plain = F.concat(F.lit("/"), _decoded(F.regexp_extract(addr, r"^[^/]*/?(.*)$", 1)), F.lit("/"))
+    plain = F.regexp_replace(plain, r"/(?:\.?/)+", "/")
+    # only a path with a step back is walked segment by segment
+    walked = F.aggregate(
+        F.split(plain, "/"),
         F.array().cast("array<string>"),
-        lambda acc, s: F.when((s == "") | (s == "."), acc)
-        .when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .otherwise(F.concat(acc, F.array(s))),
+        lambda acc, s: F.when(s == "", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(s))),
     )
-    path = F.regexp_replace(F.array_join(path, "/"), SCALED, "")
+    path = F.when(F.contains(plain, F.lit("/../")), F.array_join(walked, "/")).otherwise(F.regexp_replace(plain, "^/|/$", ""))
+    path = F.regexp_replace(path, SCALED, "")
     drop = "|".join(t.replace("*", ".*") for t in (*TRACKING, *SCALING))
     kept = F.array_sort(F.filter(F.transform(F.split(query, "[&;]"), _decoded), lambda p: (p != "") & ~p.rlike(rf"(?i)^(?:{drop})(?:=|$)")))
     return F.when(F.length(u) > 0, F.concat_ws("\n", host, path, F.array_join(kept, "&")))

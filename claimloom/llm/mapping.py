@@ -115,7 +115,7 @@ def typed_verdicts_and_predicates(review: DataFrame, claim: DataFrame, verdikt_l
     """
     spark = review.sparkSession
     v, p = F.lit("verdikt"), F.lit("predicate")
-    texts = F.concat(F.array("label", "hint"), F.split("hint", r"\s*,\s*"))
+    texts = F.array_compact(F.concat(F.array("label", "hint"), F.split(F.coalesce("hint", F.lit("")), r"\s*,\s*")))
     verdicts = verdikt_list.select(v.alias("field_name"), F.col("verdikt_code").alias("canon_code"), F.explode(texts).alias("text"))
     predicates = predicate_list.select(p.alias("field_name"), F.col("predicate_code").alias("canon_code"), F.explode(F.array("predicate_code", "label_en", "label_de")).alias("text"))
     own = verdicts.union(predicates)

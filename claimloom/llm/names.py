@@ -268,13 +268,17 @@ def token_similarity(a: str, b: str) -> float:
 def align(a: list[str], b: list[str]) -> float:
     """Share of the shorter name's letters that an optimal assignment of its tokens to the other's explains.
 
-    Exact over subsets for up to ten tokens of the longer name, by best pairs first beyond that.
+    Exact over subsets for up to ten tokens of the longer name, by best pairs first up to sixty, by equal tokens
+    beyond that.
     """
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return 0.0
     weight = [max(len(x), 1) for x in a]
+    if len(b) > 60:
+        have = set(b)
+        return sum(w for x, w in zip(a, weight) if x in have) / sum(weight)
     sim = [[w * token_similarity(x, y) for y in b] for x, w in zip(a, weight)]
     if len(b) <= 10:
         best = {0: 0.0}

@@ -222,7 +222,7 @@ def fit_level_model(rows: list, ranks: list[dict[str, int]], ridge: float = 0.5,
 def reading_levels(docs: DataFrame, labels: DataFrame, min_words: int = 80, max_labels: int = 2000) -> DataFrame:
     """``(doc_id, reading_level)`` for every document of at least ``min_words`` words split at white space.
 
-    Null and short texts give no row; a null doc_id gives a row with a null id.  ``max_labels`` bounds the rated
+    Null and short texts give no row; rows that repeat a doc_id give one, with the highest of their levels.  ``max_labels`` bounds the rated
     documents that the formula is fitted on; list, levels and all counts come from all documents.
     """
     spark = docs.sparkSession
@@ -242,7 +242,8 @@ def reading_levels(docs: DataFrame, labels: DataFrame, min_words: int = 80, max_
                 level = np.clip(np.floor(m.estimate(_Batch(b.column(1))) + 0.5), m.lowest, m.highest).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(level, pa.int32())], names=["doc_id", "reading_level"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, reading_level int")
+    each = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, reading_level int")
+    return each.groupBy("doc_id").agg(F.max("reading_level").alias("reading_level"))
 
 
 def level_profile(levels: DataFrame, docs: DataFrame) -> DataFrame:

@@ -104,7 +104,8 @@ def link_variants(seed: DataFrame, org: DataFrame) -> DataFrame:
     A seed is taken for an organisation whose name its own is a spelling of, or whose site it gives (initials,
     nicknames), unless both line of business and country, or either with the other unknown, speak for a
     namesake.  A common own site overrules that.  If some organisation agrees in business, country or site,
-    those that merely do not disagree are dropped.  Blank names link by their site only; repeated rows link
+    those that merely do not disagree are dropped;
+    if none does, those whose tokens align best stay.  Blank names link by their site only; repeated rows link
     alike; empty tables give an empty result.
     """
     op, sp, ent = prepared(org, seed, ["oem"], "land", ["domain", "link"], "seed_id")
@@ -115,7 +116,8 @@ def link_variants(seed: DataFrame, org: DataFrame) -> DataFrame:
     same = F.col("h") | (~clash & (named | by_site))
     # how strongly: a common site, then business or country, then nothing against
     strength = F.when(F.col("h"), 2).when((F.col("b") == 1) | (F.col("c") == 1), 1).otherwise(0)
-    ok = ev.where(same).select("id", "ent", strength.alias("strength"))
-    best = ok.groupBy("id").agg(F.max("strength").alias("best"))
-    kept = ok.join(best, "id").where((F.col("strength") > 0) | (F.col("best") == 0)).select("id", "ent")
+    ok = ev.where(same).select("id", "ent", strength.alias("strength"), "al")
+    best = ok.groupBy("id").agg(F.max("strength").alias("best"), F.max("al").alias("best_al"))
+    # without any evidence the alignment of the tokens decides
+    kept = ok.join(best, "id").where((F.col("strength") > 0) | ((F.col("best") == 0) & (F.col("al") >= F.col("best_al")))).select("id", "ent")
     return kept.join(ent.select(F.col("id").alias("org_id"), "ent"), "ent").select("org_id", F.col("id").alias("seed_id")).distinct()
