@@ -80,12 +80,10 @@ def part_hashes(h: Column, bands: int, match: int) -> Column:
     """Array of bigint: one key for every choice of ``match`` of ``bands`` stripes of a 64-bit value."""
     edges = [64 * i // bands for i in range(bands + 1)]
     stripes = [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(bands)]
-    keys = []
-    for n, chosen in enumerate(combinations(range(bands), match)):
-        mask = sum(stripes[i] for i in chosen)
-        mask -= (1 << 64) if mask >= 1 << 63 else 0
-        keys.append(F.xxhash64(h.bitwiseAND(F.lit(mask)), F.lit(n)))
-    return F.array(*keys)
+    masks = [sum(stripes[i] for i in c) for c in combinations(range(bands), match)]
+    # one small expression over a constant array: a list of hashes would be a huge generated method
+    masks = F.array(*[F.lit(m - (1 << 64) if m >= 1 << 63 else m).cast("bigint") for m in masks])
+    return F.transform(masks, lambda m: F.xxhash64(h.bitwiseAND(m), m))
 
 
 class BatchDeduplicator:

@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -20,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.llm.incremental import part_hashes
 from claimloom.llm.names import distance, fold, tolerance
 from claimloom.llm.parties import entity_parts, prepared
 from claimloom.llm.variants import evidence
@@ -86,18 +86,11 @@ def encoded(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "id bigint, v_name bigint, v_code bigint, v_place bigint, v_sites array<bigint>, street string, number string, code string")
 
 
-def stripe_keys(h: Column, bands: int, match: int) -> Column:
-    """Array of bigint keys, one for each choice of ``match`` of ``bands`` stripes of a 64-bit vector."""
-    edges = [64 * i // bands for i in range(bands + 1)]
-    stripes = [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(bands)]
-    return F.array(*[F.xxhash64(h.bitwiseAND(F.lit(_signed(sum(stripes[i] for i in c)))), F.lit(n)) for n, c in enumerate(combinations(range(bands), match))])
-
-
 def close_vectors(left: DataFrame, right: DataFrame, radius: int, bands: int, match: int) -> DataFrame:
     """``(a, b)``: all pairs of different vectors ``left(a)`` and ``right(b)`` within ``radius`` bits, exactly."""
     if bands - match < radius:
         raise ValueError("the search is exact up to bands - match bits only")
-    key = lambda t, c: t.select(c, F.explode(stripe_keys(F.col(c), bands, match)).alias("key"))
+    key = lambda t, c: t.select(c, F.explode(part_hashes(F.col(c), bands, match)).alias("key"))
     # the keys are many times the vectors that the planner sees: never broadcast them
     near = key(left, "a").hint("merge").join(key(right, "b"), "key").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
     return near.select("a", "b").distinct()
@@ -112,9 +105,6 @@ def candidate_pairs(left: DataFrame, right: DataFrame, ent: DataFrame) -> DataFr
         b = materialize(take(left, "b").join(ent, "id").select("ent", "b").distinct(), "vec")
         near = close_vectors(a.select("a").distinct(), b.select("b").distinct(), radius, bands, match)
         pairs = a.join(near, "a").select("id", "b").join(b, "b").select("id", "ent")
-        if col in ("v_code", "v_place"):
-            # neighbours: a shared address makes a candidate only together with a related name or site
-            pairs = pairs.distinct()
         out = pairs if out is None else out.union(pairs)
     return out.distinct()
 
