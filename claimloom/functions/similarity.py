@@ -7,9 +7,10 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())  # a type name would need a session at import
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio.  It is not symmetric: keep the order of the arguments.  Null counts as empty."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")

@@ -120,4 +120,5 @@ def datasheet_link(html: Column, base: Column) -> Column:
 def image_size_ok(n_bytes: Column, width: Column, height: Column) -> Column:
     """Whether an image is large enough and of a plain shape; unreadable sizes are not."""
     long, short = F.greatest(width, height), F.least(width, height)
-    return F.coalesce((n_bytes > 3072) & (short >= 300) & (long <= 6000) & (long / short <= 4), F.lit(False))
+    known = width.isNotNull() & height.isNotNull()
+    return F.coalesce(known & (n_bytes > 3072) & (short >= 300) & (long <= 6000) & (long / short <= 4), F.lit(False))

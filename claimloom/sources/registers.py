@@ -47,7 +47,7 @@ def legal_notice(html: Column) -> Column:
     got = lambda p, i: F.nullif(F.regexp_extract(t, p, i), F.lit(""))
     return F.struct(
         got(r"\b((?:DE|ATU|CHE)[ \-.]?\d[\d .\-]{6,13}\d)\b", 1).alias("vat"),
-        got(r"(?:Geschäftsführer(?:in)?|Geschäftsführung|Managing Director)\s*:?\s*([A-ZÄÖÜ][\wäöüß\-]+(?: [A-ZÄÖÜ][\wäöüß\-]+)+)", 1).alias("director"),
+        got(r"(?:Geschäftsführer(?:in)?|Geschäftsführung|Managing Director)\s*:?\s*([A-ZÄÖÜ][\wäöüß\-]+(?: (?:von|van|de|der))* [A-ZÄÖÜ][\wäöüß\-]+)", 1).alias("director"),
         got(address, 1).alias("street"),
         got(address, 2).alias("zip"),
         got(address, 3).alias("city"),
