@@ -25,24 +25,21 @@ def normal_form(c: Column) -> Column:
 def char_grams(c: Column) -> Column:
     """N-grams of a normal form between two marks: trigrams, and pairs of letters at distance one and two
     without their order, so that two swapped letters leave most of them in place."""
-    t = F.concat(F.lit("^"), c, F.lit("$"))
-    n = F.length(t)
+    ch = F.split(F.concat(F.lit("^"), c, F.lit("$")), "")
+    one, two = (F.slice(ch, k, F.size(ch)) for k in (2, 3))
 
-    def pair(i: Column, gap: int, mark: str) -> Column:
-        a, b = F.substring(t, i, F.lit(1)), F.substring(t, i + gap, F.lit(1))
-        return F.concat(F.lit(mark), F.least(a, b), F.greatest(a, b))
+    def pair(mark: str):
+        return lambda a, b: F.when(b.isNotNull(), F.concat(F.lit(mark), F.least(a, b), F.greatest(a, b)))
 
-    def over(last: Column, f) -> Column:
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), f)).otherwise(F.array().cast("array<string>"))
+    # shifted arrays and not positions in the text: the work is linear in its length
+    threes = F.zip_with(F.zip_with(ch, one, lambda a, b: F.concat(a, b)), two, lambda a, b: F.concat(a, b))
+    grams = F.concat(threes, F.zip_with(ch, one, pair("1")), F.zip_with(ch, two, pair("2")))
+    return F.when(F.length(c) > 0, F.array_compact(grams)).otherwise(F.array().cast("array<string>"))
 
-    return F.when(
-        F.length(c) > 0,
-        F.concat(
-            over(n - 2, lambda i: F.substring(t, i, F.lit(3))),
-            over(n - 1, lambda i: pair(i, 1, "1")),
-            over(n - 2, lambda i: pair(i, 2, "2")),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+
+def form_id(norm: Column) -> Column:
+    """16 bytes that stand for a normal form, so that a very long one is not repeated with each of its grams."""
+    return F.unhex(F.md5(norm))
 
 
 def _weights(entries: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,46 +47,47 @@ def _weights(entries: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def map_values(values: DataFrame, canon: DataFrame, threshold: float = 0.34, margin: float = 0.02) -> DataFrame:
-    """``(field_name, norm, canon_code, score)``, one row for every distinct normal form of
-    ``values(field_name, value)``.
+    """``(field_name, form, canon_code, score)``, one row for every distinct normal form of
+    ``values(field_name, value)``; ``form`` is its ``form_id``.
 
     ``canon(field_name, canon_code, text)`` holds the wordings of each entry.  A value takes the entry with the
     highest cosine if that reaches ``threshold`` and leads the next entry by ``margin``; else its code is
     UNMATCHED.  Two entries that tie are no match.  Values without a letter or digit are UNMATCHED.
     """
     forms = values.select("field_name", normal_form(F.col("value")).alias("norm")).distinct()
-    forms = materialize(forms, "forms")
+    forms = materialize(forms.withColumn("form", form_id(F.col("norm"))), "forms")
     entries = canon.select("field_name", "canon_code", normal_form(F.col("text")).alias("norm")).where("norm <> ''").distinct()
-    eg = _weights(entries, ["field_name", "canon_code", "norm"])
-    total = entries.select("field_name", "norm").distinct().groupBy("field_name").agg(F.count(F.lit(1)).alias("n"))
+    entries = entries.withColumn("entry", form_id(F.col("norm")))
+    eg = _weights(entries, ["field_name", "canon_code", "entry"])
+    total = entries.select("field_name", "entry").distinct().groupBy("field_name").agg(F.count(F.lit(1)).alias("n"))
     idf = (
-        eg.select("field_name", "gram", "norm").distinct().groupBy("field_name", "gram").agg(F.count(F.lit(1)).alias("d"))
+        eg.select("field_name", "gram", "entry").distinct().groupBy("field_name", "gram").agg(F.count(F.lit(1)).alias("d"))
         .join(total, "field_name").select("field_name", "gram", F.log(1 + F.col("n") / (F.col("d") + 0.5)).alias("idf"))
     )
     unseen = total.select("field_name", F.log(1 + F.col("n") / 0.5).alias("unseen"))
-    eg = materialize(eg.join(idf, ["field_name", "gram"]).select("field_name", "canon_code", F.col("norm").alias("entry"), "gram", (F.col("tf") * F.col("idf")).alias("we")), "index")
+    eg = materialize(eg.join(idf, ["field_name", "gram"]).select("field_name", "canon_code", "entry", "gram", (F.col("tf") * F.col("idf")).alias("we")), "index")
     enorm = eg.groupBy("field_name", "canon_code", "entry").agg(F.sqrt(F.sum(F.col("we") * F.col("we"))).alias("elen"))
     vg = (
-        _weights(forms, ["field_name", "norm"]).join(idf, ["field_name", "gram"], "left").join(unseen, "field_name")
-        .select("field_name", "norm", "gram", (F.col("tf") * F.coalesce("idf", "unseen")).alias("wv"))
+        _weights(forms, ["field_name", "form"]).join(idf, ["field_name", "gram"], "left").join(unseen, "field_name")
+        .select("field_name", "form", "gram", (F.col("tf") * F.coalesce("idf", "unseen")).alias("wv"))
     )
     vg = materialize(vg, "grams")
-    vlen = vg.groupBy("field_name", "norm").agg(F.sqrt(F.sum(F.col("wv") * F.col("wv"))).alias("vlen"))
-    dots = vg.join(eg, ["field_name", "gram"]).groupBy("field_name", "norm", "canon_code", "entry").agg(F.sum(F.col("wv") * F.col("we")).alias("dot"))
+    vlen = vg.groupBy("field_name", "form").agg(F.sqrt(F.sum(F.col("wv") * F.col("wv"))).alias("vlen"))
+    dots = vg.join(eg, ["field_name", "gram"]).groupBy("field_name", "form", "canon_code", "entry").agg(F.sum(F.col("wv") * F.col("we")).alias("dot"))
     scored = (
-        dots.join(enorm, ["field_name", "canon_code", "entry"]).join(vlen, ["field_name", "norm"])
-        .groupBy("field_name", "norm", "canon_code").agg(F.max(F.col("dot") / (F.col("elen") * F.col("vlen"))).alias("score"))
+        dots.join(enorm, ["field_name", "canon_code", "entry"]).join(vlen, ["field_name", "form"])
+        .groupBy("field_name", "form", "canon_code").agg(F.max(F.col("dot") / (F.col("elen") * F.col("vlen"))).alias("score"))
     )
-    w = Window.partitionBy("field_name", "norm").orderBy(F.desc("score"), "canon_code")
+    w = Window.partitionBy("field_name", "form").orderBy(F.desc("score"), "canon_code")
     top = scored.withColumn("r", F.row_number().over(w)).where("r <= 2")
-    best = top.groupBy("field_name", "norm").agg(
+    best = top.groupBy("field_name", "form").agg(
         F.max(F.when(F.col("r") == 1, F.col("canon_code"))).alias("code"),
         F.max(F.when(F.col("r") == 1, F.col("score"))).alias("score"),
         F.max(F.when(F.col("r") == 2, F.col("score"))).alias("second"),
     )
     sure = (F.col("score") >= threshold) & (F.col("score") - F.coalesce("second", F.lit(0.0)) >= margin)
-    return forms.join(best, ["field_name", "norm"], "left").select(
-        "field_name", "norm", F.when(sure, F.col("code")).otherwise(UNMATCHED).alias("canon_code"), F.coalesce("score", F.lit(0.0)).alias("score")
+    return forms.select("field_name", "form").join(best, ["field_name", "form"], "left").select(
+        "field_name", "form", F.when(sure, F.col("code")).otherwise(UNMATCHED).alias("canon_code"), F.coalesce("score", F.lit(0.0)).alias("score")
     )
 
 
@@ -99,7 +97,7 @@ def mapped_rows(rows: DataFrame, canon: DataFrame, exact: DataFrame, threshold:
     open_ = rows.where("value is not null").where(~F.col("value").rlike(r"(?U)^[\s​]*$"))
     open_ = open_.join(exact.select("field_name", F.col("text").alias("value")).distinct(), ["field_name", "value"], "left_anti")
     codes = map_values(open_, canon, threshold, margin)
-    return open_.select("field_name", "row_id", normal_form(F.col("value")).alias("norm")).join(codes, ["field_name", "norm"]).select("field_name", "row_id", "canon_code")
+    return open_.select("field_name", "row_id", form_id(normal_form(F.col("value"))).alias("form")).join(codes, ["field_name", "form"]).select("field_name", "row_id", "canon_code")
 
 
 def _alias_rows(spark, field: str, aliases: dict[str, list[str]]) -> DataFrame:
