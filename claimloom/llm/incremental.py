@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.session import materialize, new_path
+from claimloom.session import materialize, new_path, release
 
 #: Query parameters that only serve tracking (a trailing * stands for any ending).
 TRACKING = ["utm_*", "fbclid", "gclid", "dclid", "msclkid", "yclid", "igshid", "mc_cid", "mc_eid", "_ga", "ref", "ref_src", "referrer"]
@@ -203,4 +203,5 @@ def repeated_pictures(review: DataFrame, **params) -> DataFrame:
             index.accept(part)
         else:
             out = out.union(materialize(index.process(part), "repeats"))
+        release(spark)
     return out

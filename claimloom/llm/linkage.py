@@ -23,7 +23,7 @@ from claimloom.llm.incremental import part_hashes
 from claimloom.llm.names import distance, fold, tolerance
 from claimloom.llm.parties import entity_parts, prepared
 from claimloom.llm.variants import evidence
-from claimloom.session import materialize
+from claimloom.session import materialize, release
 
 #: Kinds of streets and their short forms; they are left out of the compared street name.
 STREET_KINDS = ["strasse", "str", "street", "st", "road", "rd", "lane", "ln", "way", "park", "via", "v", "rue", "r", "nr", "no"]
@@ -169,7 +169,9 @@ def match_companies(org: DataFrame, register: DataFrame) -> DataFrame:
     )
     left = materialize(encoded(both(op, org, ["address"], "id")), "left")
     right = materialize(encoded(both(rp, register, ["address_lines", "postal_code", "city"], "entry_id")), "right")
+    release(org.sparkSession)
     cand = materialize(candidate_pairs(left, right, ent), "pairs")
+    release(org.sparkSession)
     # distances of name and site are taken from the best of the entity's rows
     lrows = left.select(F.col("id").alias("oid"), *[F.col(c).alias(f"o_{c}") for c in ("v_name", "v_sites", "street", "number", "code")]).join(
         op.select(F.col("id").alias("oid"), F.col("strings").alias("o_strings")), "oid"
