@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.similarity import matching_ratio
 from claimloom.functions.text import application, brand_tokens, norm
 from claimloom.operators.resolve import containment_pairs, token_pairs
+from claimloom.session import materialize
 
 
 def firm_matches(cand: DataFrame, firms: DataFrame, least_tokens: float = 0.34, least_ratio: float = 0.85, spelling: bool = True) -> DataFrame:
@@ -23,24 +24,28 @@ def firm_matches(cand: DataFrame, firms: DataFrame, least_tokens: float = 0.34,
     c_some = c.where("n <> ''")
     level = lambda x, name: x.select("cand_id", "firm_id", F.lit(name).alias("level"), "score")
     exact = c_some.join(f.groupBy("n").agg(F.max("firm_id").alias("firm_id")), "n").withColumn("score", F.lit(1.0))
+    # every stage is written: the later ones would compute the earlier ones again and again
+    exact = materialize(exact, "exact")
     out = level(exact, "exact")
     rest = c_some.join(exact.select("cand_id"), "cand_id", "left_anti")
     inside = containment_pairs(rest.select(F.col("cand_id").alias("l"), F.col("n").alias("ln")), f.select(F.col("firm_id").alias("r"), F.col("n").alias("rn")))
     inside = inside.groupBy("l").agg(F.min("r").alias("firm_id")).select(F.col("l").alias("cand_id"), "firm_id", F.lit(0.9).alias("score"))
+    inside = materialize(inside, "inside")
     out = out.union(level(inside, "exact"))
     rest = rest.join(inside.select("cand_id"), "cand_id", "left_anti")
     tok = token_pairs(rest.select(F.col("cand_id").alias("l"), F.col("t").alias("lt")), f.select(F.col("firm_id").alias("r"), F.col("t").alias("rt")), least_tokens)
     tok = tok.groupBy("l").agg(F.min_by(F.struct("r", "score"), F.struct((-F.col("score")).alias("s"), "r")).alias("x")).select(F.col("l").alias("cand_id"), F.col("x.r").alias("firm_id"), F.col("x.score").alias("score"))
+    tok = materialize(tok, "tokens")
     out = out.union(level(tok, "exact"))
     if spelling:
-        rest = rest.join(tok.select("cand_id"), "cand_id", "left_anti")
+        rest = materialize(rest.join(tok.select("cand_id"), "cand_id", "left_anti"), "rest")
         a, b = rest.select(F.explode("t").alias("a")).distinct(), f.select(F.explode("t").alias("b")).distinct()
         two = lambda df, k: df.select(k, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(k) - 1), lambda i: F.substring(F.col(k), i, F.lit(2))))).alias("g"))
         near = two(a, "a").join(two(b, "b"), "g").where(F.abs(F.length("a") - F.length("b")) <= 2).select("a", "b").distinct()
-        near = near.withColumn("score", matching_ratio(F.col("a"), F.col("b"))).where(F.col("score") >= least_ratio)
+        near = materialize(near.withColumn("score", matching_ratio(F.col("a"), F.col("b"))).where(F.col("score") >= least_ratio), "near")
         typo = rest.select("cand_id", F.explode("t").alias("a")).join(near, "a").join(f.select("firm_id", F.explode("t").alias("b")), "b")
         typo = typo.groupBy("cand_id").agg(F.min_by(F.struct("firm_id", "score"), F.struct((-F.col("score")).alias("s"), "firm_id")).alias("x")).select("cand_id", "x.firm_id", "x.score")
-        out = out.union(level(typo, "similar"))
+        out = out.union(level(materialize(typo, "spelling"), "similar"))
     none = c.join(out.select("cand_id"), "cand_id", "left_anti").select("cand_id", F.lit(None).cast("bigint").alias("firm_id"), F.lit("none").alias("level"), F.lit(0.0).alias("score"))
     return out.union(none)
 
