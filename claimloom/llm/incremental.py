@@ -205,3 +205,25 @@ def repeated_pictures(review: DataFrame, **params) -> DataFrame:
             out = out.union(materialize(index.process(part), "repeats"))
         release(spark)
     return out
+
+
+def near_pictures(review: DataFrame, distance: int = 5, bands: int = 7, match: int = 2) -> DataFrame:
+    """``(a_id, b_id, bits)``: all pairs of records, of the same or of different batches, whose readable hashes
+    differ in at most ``distance`` bits; ``a_id < b_id``.
+
+    Only distinct hashes are searched, the records are joined to the close ones; the result itself grows with the
+    square of the records that share a hash.
+    """
+    if bands - match < distance:
+        raise ValueError("the search is exact up to bands - match bits only")
+    rows = review.select(F.col("review_id").cast("bigint").alias("id"), picture_hash(F.col("bild_hash")).alias("h")).where("id is not null and h is not null")
+    rows = materialize(rows.distinct(), "pictures")
+    keys = rows.select("h").distinct().select("h", F.explode(part_hashes(F.col("h"), bands, match)).alias("part"))
+    bits = F.bit_count(F.col("h").bitwiseXOR(F.col("h2"))).cast("int").alias("bits")
+    # the keys are many times the hashes that the planner sees: never broadcast them
+    near = keys.hint("merge").join(keys.withColumnRenamed("h", "h2"), "part").where("h < h2").select("h", "h2", bits).where(F.col("bits") <= distance).distinct()
+    same = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.col("h").alias("h2"), F.lit(0).alias("bits"))
+    pairs = near.union(same).join(rows.select("h", F.col("id").alias("a")), "h").join(rows.select(F.col("h").alias("h2"), F.col("id").alias("b")), "h2")
+    pairs = pairs.where("a <> b and (h <> h2 or a < b)")
+    # a repeated id may carry two hashes: the closer one counts
+    return pairs.groupBy(F.least("a", "b").alias("a_id"), F.greatest("a", "b").alias("b_id")).agg(F.min("bits").alias("bits"))

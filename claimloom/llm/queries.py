@@ -19,6 +19,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return incremental.repeated_pictures(_t(spark, d, "review"))
 
 
+def p1_hash_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return incremental.near_pictures(_t(spark, d, "review"))
+
+
 def p4_matches(spark: SparkSession, d: str) -> DataFrame:
     return linkage.match_companies(_t(spark, d, "organization"), _t(spark, d, "register_entry"))
 
@@ -64,7 +68,7 @@ def p8_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ALL: tuple[Query, ...] = (
-    p1_found, p2_found, p3_found, p4_found, p4_matches, p5_found, p5_golden_records, p6_assignment, p6_container_report, p7_found, p8_found, p8_profile,
+    p1_found, p1_hash_neighbours, p2_found, p3_found, p4_found, p4_matches, p5_found, p5_golden_records, p6_assignment, p6_container_report, p7_found, p8_found, p8_profile,
 )
 
 

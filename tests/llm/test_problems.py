@@ -78,6 +78,28 @@ def test_repeats_awkward(spark):
     assert incremental.repeated_pictures(reviews(spark, rows[:0]), buckets=2).count() == 0
 
 
+def test_hash_neighbours_against_brute_force(spark):
+    rng = random.Random(11)
+    base = [rng.getrandbits(64) for _ in range(10)] + [1 << 63, (1 << 64) - 1]
+    notations = ["{:016x}", "{:016X}", "0x{:016x}", " {:016x} ", "{0:016x}"]
+    rows, bits = [], {}
+    for i in range(240):
+        h = rng.choice(base)
+        # changes in the first 16 bits as often as anywhere else
+        for place in rng.sample(range(64), rng.choice([0, 1, 3, 5, 6])):
+            h ^= 1 << place
+        bits[i] = h
+        text = rng.choice(notations).format(h)
+        rows.append((i, rng.choice([0, 0, 0, 1, 2, 3, 8, None]), None, "-".join(text.strip()[j : j + 4] for j in range(0, 16, 4)) if i % 9 == 0 and len(text) == 16 else text))
+    rows += [(900, 1, None, None), (901, 2, None, "error"), (902, 1, None, "0" * 16), (903, 2, None, "0" * 16), (904, 1, None, "")]
+    got = [tuple(r) for r in incremental.near_pictures(reviews(spark, rows)).collect()]
+    want = {(a, b, n) for a in bits for b in bits if a < b and (n := (bits[a] ^ bits[b]).bit_count()) <= 5}
+    assert set(got) == want and len(got) == len(want)
+    batch = {r[0]: r[1] for r in rows}
+    assert any(batch[a] == batch[b] == 0 for a, b, _ in want) and any((bits[a] ^ bits[b]) >> 48 for a, b, _ in want)
+    assert incremental.near_pictures(reviews(spark, rows[:0])).count() == 0
+
+
 # 2 and 4 -------------------------------------------------------------------------------------------
 
 ORG = "id bigint, canonical_name string, norm_name string, lei string, vat string, country string, domain string, address string, core string, ent int"
