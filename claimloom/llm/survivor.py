@@ -3,15 +3,16 @@
 Groups are connected components over equal strong keys.  The surviving row is the greatest element of the
 group's partial order (the product of completeness, confidence, currency and source trust).  The golden
 record is built field by field by currency reasoning: which value follows which is learned from rows that
-carry a timestamp, and where a row has none its value counts as the later one only if the learned
-precedence says so.
+carry a timestamp, each group's values are put into a partial order by their times and by what was learned,
+and the topologically latest value is taken.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import filled, register_key, squeeze, value_or_null
@@ -95,44 +96,124 @@ def _long(scored: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def learn_precedence(cells: DataFrame) -> DataFrame:
-    """``(field, value, level)`` in [-1, 1]: how often a value is a group's latest against how often it gave way.
+    """``(field, value, next, n)``: ``next`` followed ``value`` in ``n`` groups more than the other way round.
 
-    Learned from timestamped cells only.  Every older value of a group is set against the group's latest one,
-    one comparison a cell, so a large group makes no pairs.
+    Learned from timestamped cells only: from the consecutive values of each group, and from each of its values
+    and its latest one.  That is two relations a cell, so a large group makes no pairs.  A relation counts once
+    a group; where both directions are as frequent nothing is known.  Of several values at one moment the one
+    with the highest trust, confidence, then smallest id stands for it.
     """
     timed = cells.where("last_verified is not null")
-    last = timed.groupBy("first_id", "field").agg(F.max_by("value", F.struct("last_verified", "trust", "confidence", (-F.col("id")).alias("n"))).alias("latest"))
-    moves = timed.join(last, ["first_id", "field"]).where("value <> latest").groupBy("field", "value", "latest").agg(F.count(F.lit(1)).alias("n"))
-    wins = moves.groupBy("field", F.col("latest").alias("value")).agg(F.sum("n").alias("won"), F.lit(0).cast("long").alias("lost"))
-    lost = moves.groupBy("field", "value").agg(F.lit(0).cast("long").alias("won"), F.sum("n").alias("lost"))
-    return (
-        wins.unionByName(lost)
-        .groupBy("field", "value")
-        .agg(F.sum("won").alias("won"), F.sum("lost").alias("lost"))
-        .select("field", "value", ((F.col("won") - F.col("lost")) / (F.col("won") + F.col("lost") + 1)).alias("level"))
-    )
+    steps = timed.groupBy("first_id", "field", "last_verified").agg(F.max_by("value", F.struct("trust", "confidence", (-F.col("id")).alias("n"))).alias("value"))
+    w = Window.partitionBy("first_id", "field").orderBy("last_verified")
+    follow = steps.select("first_id", "field", "value", F.lead("value").over(w).alias("next"))
+    last = steps.groupBy("first_id", "field").agg(F.max_by("value", "last_verified").alias("next"))
+    moves = follow.union(steps.join(last, ["first_id", "field"]).select("first_id", "field", "value", "next")).where("value <> next").distinct()
+    up = F.col("value") < F.col("next")
+    net = moves.groupBy("field", F.least("value", "next").alias("a"), F.greatest("value", "next").alias("b")).agg(F.sum(F.when(up, 1).otherwise(-1)).alias("n")).where("n <> 0")
+    first = F.col("n") > 0
+    return net.select("field", F.when(first, F.col("a")).otherwise(F.col("b")).alias("value"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("next"), F.abs("n").alias("n"))
+
+
+def _topological(after: list[list[int]]) -> list[int]:
+    """Nodes in topological order; those on a cycle and behind it are missing."""
+    waits = [0] * len(after)
+    for x in after:
+        for j in x:
+            waits[j] += 1
+    out = [i for i, n in enumerate(waits) if not n]
+    for i in out:
+        for j in after[i]:
+            waits[j] -= 1
+            if not waits[j]:
+                out.append(j)
+    return out
+
+
+def _reach(after: list[list[int]], starts: Iterable[int]) -> set[int]:
+    seen = set(starts)
+    todo = list(seen)
+    while todo:
+        for j in after[todo.pop()]:
+            if j not in seen:
+                seen.add(j)
+                todo.append(j)
+    return seen
+
+
+def latest_value(nodes: Sequence[tuple], relations: Sequence[tuple[str, str, int]]) -> int:
+    """Place of the topologically latest of a group's ``nodes(value, seen, trust, confidence, id)``.
+
+    The partial order holds the group's own times and, for values that these do not order, the learned
+    ``relations(value, next, n)``; the most frequent come first and one that would close a cycle is left out.
+    With timestamps the result is the latest value or a last one of those that follow it, else a last one of
+    all.  Ties go by the length of the longest path to it, then trust, confidence, the smallest id.
+    """
+    at = {x[0]: i for i, x in enumerate(nodes)}
+    moments: dict[int, list[int]] = {}
+    for i, x in enumerate(nodes):
+        if x[1] is not None:
+            moments.setdefault(x[1], []).append(i)
+    levels = [moments[t] for t in sorted(moments)]
+    after: list[list[int]] = [[] for _ in nodes]
+    for one, two in zip(levels, levels[1:]):
+        # a joint between two moments instead of all pairs of their values
+        after.append(two)
+        for i in one:
+            after[i].append(len(after) - 1)
+    learned = []
+    for value, following, n in relations:
+        i, j = at[value], at[following]
+        if nodes[i][1] is None or nodes[j][1] is None or nodes[i][1] == nodes[j][1]:
+            learned.append((-n, value, following, i, j))
+    whole = [list(x) for x in after]
+    for *_, i, j in learned:
+        whole[i].append(j)
+    if len(_topological(whole)) < len(whole):
+        whole = [list(x) for x in after]
+        for *_, i, j in sorted(learned):
+            if i not in _reach(whole, [j]):
+                whole[i].append(j)
+    depth = [0] * len(whole)
+    for i in _topological(whole):
+        for j in whole[i]:
+            depth[j] = max(depth[j], depth[i] + (i < len(nodes)))
+    open_ = _reach(whole, levels[-1]) if levels else range(len(nodes))
+    return max((i for i in open_ if not whole[i]), key=lambda i: (depth[i], nodes[i][2], nodes[i][3], -nodes[i][4]))
+
+
+def _latest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        out = []
+        for r in f.itertuples(index=False):
+            nodes = [(x["value"], x["seen"], x["trust"], x["confidence"], x["id"]) for x in r.nodes]
+            i = latest_value(nodes, [] if r.relations is None else [(x["value"], x["next"], x["n"]) for x in r.relations])
+            out.append((r.first_id, r.field, nodes[i][0], nodes[i][4]))
+        yield pd.DataFrame(out, columns=["first_id", "field", "value", "id"])
 
 
 def golden_records(rows: DataFrame, claims: DataFrame, trust: DataFrame, keys: Sequence[str] = ("lei", "vat"), fields: Sequence[str] = FIELDS) -> DataFrame:
     """One built record a group: ``first_id, survivor_id``, each field's value and each field's source row.
 
-    A field takes its latest timestamped value, unless a value without a timestamp stands higher in the learned
-    precedence; without any timestamp the highest in precedence is taken.  Ties go by trust, confidence, then
-    the smallest id.  A field that is empty in the whole group stays null.
+    A field takes the topologically latest of the group's values (``latest_value``), in the partial order of the
+    group's own times and the precedence learned from all groups; its source is the value's latest row, else the
+    one with the highest trust, confidence, then the smallest id.  A field that is empty in the whole group
+    stays null.  The values of a group are collected, different ones only.
     """
     scored = materialize(_scored(rows, duplicate_groups(rows, keys), claims, trust, fields), "scored")
     cells = _long(scored, fields)
-    level = learn_precedence(cells)
-    ranked = cells.join(level, ["field", "value"], "left").withColumn("level", F.coalesce("level", F.lit(0.0)))
-    pick = F.struct("value", "id", "level")
-    tie = ("trust", "confidence", (-F.col("id")).alias("n"))
-    t = F.col("last_verified").isNotNull()
-    per = ranked.groupBy("first_id", "field").agg(
-        F.max_by(F.when(t, pick), F.when(t, F.struct("last_verified", *tie))).alias("timed"),
-        F.max_by(F.when(~t, pick), F.when(~t, F.struct("level", *tie))).alias("untimed"),
+    best = F.max(F.struct(F.unix_micros("last_verified").alias("seen"), "trust", "confidence", (-F.col("id")).alias("n"))).alias("b")
+    values = materialize(
+        cells.groupBy("first_id", "field", "value").agg(best).select("first_id", "field", "value", "b.seen", "b.trust", "b.confidence", (-F.col("b.n")).alias("id")), "values"
     )
-    take = F.when(F.col("timed").isNull() | (F.col("untimed.level") > F.col("timed.level")), F.coalesce("untimed", "timed")).otherwise(F.col("timed"))
-    per = per.select("first_id", "field", take.alias("x"))
+    level = materialize(learn_precedence(cells), "precedence")
+    key = values.select("first_id", "field", "value")
+    within = key.join(level, ["field", "value"]).join(key.withColumnRenamed("value", "next"), ["first_id", "field", "next"])
+    relations = within.groupBy("first_id", "field").agg(F.collect_list(F.struct("value", "next", "n")).alias("relations"))
+    nodes = values.groupBy("first_id", "field").agg(F.collect_list(F.struct("value", "seen", "trust", "confidence", "id")).alias("nodes"))
+    alone = nodes.where("size(nodes) = 1").select("first_id", "field", F.col("nodes")[0]["value"].alias("value"), F.col("nodes")[0]["id"].alias("id"))
+    several = nodes.where("size(nodes) > 1").join(relations, ["first_id", "field"], "left")
+    per = alone.union(several.mapInPandas(_latest, "first_id bigint, field string, value string, id bigint")).select("first_id", "field", F.struct("value", "id").alias("x"))
 
     def of(f: str) -> Column:
         return F.max(F.when(F.col("field") == f, F.col("x")))

@@ -272,6 +272,48 @@ def test_survivors(spark):
     assert survivor.survivors(org.limit(0), claim, trust).count() == 0 and survivor.golden_records(org.limit(0), claim.limit(0), trust.limit(0)).count() == 0
 
 
+def test_golden_records_by_precedence(spark):
+    import datetime as dt
+
+    rows = []
+
+    def group(key, *cells):
+        for value, day in cells:
+            rows.append((len(rows) + 1, "n", key, None, None, None, None, None, value, 0.5, day and dt.datetime(2025, 1, day), 1, 1))
+
+    for i in range(3):
+        group(f"ab{i}", ("A", 1), ("B", 2))
+    for i in range(9):
+        group(f"bd{i}", ("B", 1), ("D", 2))
+    group("efg", ("E", 1), ("F", 2), ("G", 3))
+    group("xy", ("X", 1), ("Y", 2))
+    group("yx", ("Y", 1), ("X", 2))
+    for i, (a, b) in enumerate(["PQ", "PQ", "QR", "QR", "RP"]):
+        group(f"pqr{i}", (a, 1), (b, 2))
+    # what is asked for
+    wants = [
+        ([("B", None), ("A", None)], "B"),  # B gave way to D elsewhere, but it follows A
+        ([("E", None), ("F", None)], "F"),  # learned from a group that ends in G
+        ([("E", None), ("G", None)], "G"),
+        ([("D", None), ("A", None), ("B", None)], "D"),  # A and D were never compared
+        ([("A", 5), ("B", None)], "B"),  # follows the latest value
+        ([("B", 5), ("A", None)], "B"),
+        ([("B", 3), ("A", 5)], "A"),  # the group's own times come first
+        ([("A", None), ("Z", 5), ("B", None)], "Z"),  # nothing is known to follow Z
+        ([("X", None), ("Y", None)], "X"),  # as often either way: the smaller id
+        ([("P", None), ("Q", None), ("R", None)], "R"),  # R to P is the weakest of the cycle
+    ]
+    first = []
+    for i, (cells, _) in enumerate(wants):
+        first.append(len(rows) + 1)
+        group(f"asked{i}", *cells)
+    claim = spark.createDataFrame([], "subject_type string, subject_id bigint, source_type string")
+    trust = spark.createDataFrame([], "source_type string, trust int")
+    gold = {r.first_id: r for r in survivor.golden_records(spark.createDataFrame(rows, FULL), claim, trust).collect()}
+    assert [gold[f].status for f in first] == [w for _, w in wants]
+    assert all(rows[gold[f].status_from - 1][8] == w for f, (_, w) in zip(first, wants))
+
+
 def test_components_against_brute_force(spark):
     from claimloom.operators.components import connected_components
 
