@@ -165,6 +165,34 @@ def test_companies(spark):
     assert all(0 < r.confidence <= 1 for r in rows)
 
 
+def test_companies_by_mistyped_fields(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(5)) + rng.choice("bdfgk")
+
+    def typed(w):
+        w = list(w)
+        for at in rng.sample(range(1, 9, 3), 2):
+            if rng.random() < 0.5:
+                w[at] = "x"
+            else:
+                w[at], w[at + 1] = w[at + 1], w[at]
+        return "".join(w)
+
+    names = [word() for _ in range(40)]
+    others = [typed(n) for n in names]
+    o = [(i, n.title(), None, None, None, "DE", None, None) for i, n in enumerate(names)]
+    e = [(i, n.title(), None, None, None, "DE", None) for i, n in enumerate(others)]
+    want = {(i, j) for i, a in enumerate(names) for j, b in enumerate(others) if distance(a, b, 2) <= tolerance(min(len(a), len(b)))}
+    assert len(want) >= 38
+    # registered under another name, with slips in homepage and address
+    e.append((900, "Musterlin Verwaltung AG", "Trofweg 7", "8001", "Neunebrug", "CH", "brumetak-gruop.invalid"))
+    # another name on a near site at another address
+    e.append((901, "Sudelrin GmbH", "Amselweg 2", "8002", "Anderswo", "CH", "brumetak-gruop.invalid"))
+    o.append((900, *ORGS[3][1:]))
+    got = {(r.org_id, r.entry_id) for r in linkage.match_companies(orgs(spark, o), entries(spark, e)).collect()}
+    assert got == want | {(900, 900)}
+
+
 def test_companies_of_nothing(spark):
     assert linkage.match_companies(orgs(spark, ORGS[:0]), entries(spark, ENTRIES)).count() == 0
     assert linkage.match_companies(orgs(spark, ORGS), entries(spark, ENTRIES[:0])).count() == 0
