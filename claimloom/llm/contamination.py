@@ -34,8 +34,6 @@ class Search:
     window: int = 128
     coverage: float = 0.5
     contained: float = 0.25  # least share of a passage's shingles, in the sketch and then exactly
-    top_windows: int = 4  # two stretches, each across a window's edge
-    region_windows: int = 12  # windows around the best ones that are aligned
 
 
 def _words(texts: pa.Array) -> Words:
@@ -124,21 +122,20 @@ class Passages:
         key, n = np.unique(pair_w.astype(np.int64) * len(self.ids) + pair_i, return_counts=True)
         win, item = key // len(self.ids), key % len(self.ids)
         row = np.searchsorted(base, win, side="right") - 1
-        # the best windows of each (text, passage)
-        order = np.lexsort((-n, item, row))
-        win, item, row, n = win[order], item[order], row[order], n[order]
+        # all windows of each (text, passage), in order
+        order = np.lexsort((win, item, row))
+        win, item, row = win[order], item[order], row[order]
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(row))
-        rank = np.arange(len(row)) - np.repeat(begin, end - begin)
-        total = np.add.reduceat(np.where(rank < s.top_windows, n, 0), begin)
+        total = np.add.reduceat(n[order], begin)
         hit = total >= self.need[item[begin]]
         rows, items = [], []
         for b, e in zip(begin[hit].tolist(), end[hit].tolist()):
             r, i = int(row[b]), int(item[b])
-            best = np.unique(np.clip((win[b : min(e, b + s.region_windows // 3)] - base[r])[:, None] + np.array([-1, 0, 1]), 0, per[r] - 1))
-            doc_words = np.concatenate([h[at[r] + k * s.window : min(at[r] + (k + 1) * s.window, at[r + 1])] for k in best])
+            near = np.unique(np.clip((win[b:e] - base[r])[:, None] + np.array([-1, 0, 1]), 0, per[r] - 1))
+            doc_words = np.concatenate([h[at[r] + k * s.window : min(at[r] + (k + 1) * s.window, at[r + 1])] for k in near])
             if self._contains(i, doc_words):
                 rows.append(r)
                 items.append(i)

@@ -434,6 +434,21 @@ def test_leaks(spark):
     assert contamination.leaked_items(d.limit(0), e).count() == 0 and contamination.leaked_items(d, e.limit(0)).count() == 0
 
 
+def test_leaks_of_long_and_repeated_stretches(spark):
+    rng = random.Random(7)
+    text = lambda n: [rng.choice(VOCABULARY) + rng.choice(VOCABULARY) for _ in range(n)]
+    long, other, short = text(3600), text(3600), text(120)
+    docs = {
+        1: text(200) + long + text(200),  # more windows than twelve
+        2: other[:1000] + text(700) + other[2600:] + text(50),  # two long stretches
+        3: sum((short[:35] + text(300) for _ in range(6)), []) + short[80:115] + text(40),  # a stretch repeated before the other
+        4: sum((short[:35] + text(300) for _ in range(6)), []),
+    }
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id bigint, text string")
+    e = spark.createDataFrame([(i, " ".join(w)) for i, w in ((1, long), (2, other), (3, short))], "item_id bigint, passage string")
+    assert {tuple(r) for r in contamination.leaked_items(d, e).collect()} == {(1, 1), (2, 2), (3, 3)}
+
+
 # 8 -------------------------------------------------------------------------------------------------
 
 
