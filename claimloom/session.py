@@ -87,6 +87,28 @@ def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """A folder for the written tables of one step, deleted when the ``with`` block ends.
+
+    What the step returns must be written elsewhere (``materialize``) before the block ends.
+    """
+
+    def __init__(self, spark: SparkSession, name: str = "scratch"):
+        self.spark, self.path, self.n = spark, new_path(spark, name), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        delete_path(self.spark, self.path)
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """``df`` as a written table of this folder."""
+        self.n += 1
+        df.write.parquet(f"{self.path}/{self.n}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{self.n}")
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _own_dirs:
