@@ -8,7 +8,6 @@ in an executor's memory or on its local disk, so lost executors cost recomputati
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import tempfile
 import uuid
@@ -69,16 +68,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver drop the plans, generated classes and shuffle files of finished steps.
-
-    For operators that run many small jobs in a loop: a driver collects its garbage only when its heap is full,
-    and until then keeps everything that the loop left behind.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and return the written table (durable cut of lineage)."""
     spark = df.sparkSession
