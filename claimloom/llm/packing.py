@@ -116,24 +116,27 @@ def plan(histogram: dict[int, int], capacity: int, policy: str = "fit", linear:
     return runs, opened
 
 
-def assign(lengths: DataFrame, kinds: DataFrame, policy: str = "fit", spread: int = 512) -> DataFrame:
+def assign(lengths: DataFrame, kinds: DataFrame, policy: str = "fit", slot_rows: int = 100_000) -> DataFrame:
     """``(kind, container, doc_id, part_no, start_token, n_tokens)`` for every document and kind of container.
 
     A text that fits into one container is never split; a longer one gives full parts of their own and one
     last part that is packed as an item.  Documents without tokens take no room and lie in some container.
-    Rows that repeat a doc_id are packed like any others.  Kinds without a positive capacity are left out; an
-    empty table of documents gives an empty result.
+    Every row is packed by itself, also where ids repeat or are null: containers of full parts are named by a
+    number of the row.  Kinds without a positive capacity are left out; an empty table of documents gives an
+    empty result.  Rows are ranked within slots of about ``slot_rows`` rows, however many share a length.
     """
     spark = lengths.sparkSession
     caps = {r["kind"]: int(r["cap"]) for r in kinds.where("capacity_tokens > 0 and kind is not null").groupBy("kind").agg(F.max("capacity_tokens").alias("cap")).collect()}
     if not caps:
         return spark.createDataFrame([], "kind string, container string, doc_id bigint, part_no bigint, start_token bigint, n_tokens bigint")
-    docs = materialize(lengths.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(spread))), "lengths")
-    each = docs.select("doc_id", "n_tokens", "slot", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).cast("bigint").alias("cap")) for k, c in sorted(caps.items())])).alias("k")).select("doc_id", "n_tokens", "slot", "k.*")
+    # the number of a row is written with it, so it stays the same for all that reads it
+    docs = materialize(lengths.select("doc_id", "n_tokens", F.monotonically_increasing_id().alias("row")), "lengths")
+    docs = docs.withColumn("slot", F.pmod(F.col("row"), F.lit(1 + docs.count() // slot_rows)))
+    each = docs.select("row", "doc_id", "n_tokens", "slot", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).cast("bigint").alias("cap")) for k, c in sorted(caps.items())])).alias("k")).select("row", "doc_id", "n_tokens", "slot", "k.*")
     whole = F.col("n_tokens") <= F.col("cap")
-    items = each.select("kind", "cap", "doc_id", "slot", "n_tokens", F.when(whole, F.col("n_tokens")).otherwise(F.col("n_tokens") % F.col("cap")).alias("len"))
+    items = each.select("kind", "cap", "row", "doc_id", "slot", "n_tokens", F.when(whole, F.col("n_tokens")).otherwise(F.col("n_tokens") % F.col("cap")).alias("len"))
     items = items.where("len > 0 or n_tokens = 0")
-    # rank among the items of one length: within a slot of ids, plus the counts of the slots before;
+    # rank among the items of one length: within a slot of rows, plus the counts of the slots before;
     # a length that a third of all documents share is still spread over all slots
     counts = materialize(items.groupBy("kind", "len", "slot").agg(F.count(F.lit(1)).alias("n")), "counts")
     histogram: dict[str, dict[int, int]] = {k: {} for k in caps}
@@ -142,7 +145,7 @@ def assign(lengths: DataFrame, kinds: DataFrame, policy: str = "fit", spread: in
     plans = {k: plan(h, caps[k], policy) for k, h in histogram.items()}
     before = Window.partitionBy("kind", "len").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("kind", "len", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("kind", "len", "slot").orderBy("doc_id")
+    inside = Window.partitionBy("kind", "len", "slot").orderBy("row")
     ranked = items.withColumn("r", F.row_number().over(inside)).join(offsets, ["kind", "len", "slot"])
     ranked = ranked.select("kind", "cap", "doc_id", "n_tokens", "len", (F.col("offset") + F.col("r") - 1).alias("rank"))
     tables = {}
@@ -179,8 +182,8 @@ def assign(lengths: DataFrame, kinds: DataFrame, policy: str = "fit", spread: in
         (F.col("n_tokens") - F.col("len")).alias("start_token"),
         F.col("len").alias("n_tokens"),
     )
-    parts = each.where(~whole).select("kind", "cap", "doc_id", F.explode(F.sequence(F.lit(0), F.floor(F.col("n_tokens") / F.col("cap")) - 1)).alias("part_no"))
-    own: Column = F.concat_ws("-", "kind", F.lit("doc"), F.col("doc_id").cast("string"), F.col("part_no").cast("string"))
+    parts = each.where(~whole).select("kind", "cap", "row", "doc_id", F.explode(F.sequence(F.lit(0), F.floor(F.col("n_tokens") / F.col("cap")) - 1)).alias("part_no"))
+    own: Column = F.concat_ws("-", "kind", F.lit("row"), F.col("row").cast("string"), F.col("part_no").cast("string"))
     full = parts.select("kind", own.alias("container"), "doc_id", F.col("part_no").cast("bigint").alias("part_no"), (F.col("part_no") * F.col("cap")).cast("bigint").alias("start_token"), F.col("cap").alias("n_tokens"))
     return last.unionByName(full)
 

@@ -370,7 +370,7 @@ def test_packing(spark, policy):
     rng = random.Random(2)
     lengths = [(i, rng.choice([0, 3, 7, 40, 64, 65, 130, rng.randrange(1, 64)])) for i in range(300)] + [(900, 7), (900, 7)]
     kinds = spark.createDataFrame([("s", 64), ("m", 200), ("none", None)], "kind string, capacity_tokens int")
-    got = packing.assign(spark.createDataFrame(lengths, "doc_id bigint, n_tokens bigint"), kinds, policy, spread=4).toPandas()
+    got = packing.assign(spark.createDataFrame(lengths, "doc_id bigint, n_tokens bigint"), kinds, policy, slot_rows=50).toPandas()
     for kind, cap in (("s", 64), ("m", 200)):
         g = got[got["kind"] == kind]
         assert g.groupby("container")["n_tokens"].sum().max() <= cap
@@ -393,6 +393,14 @@ def test_packing(spark, policy):
     assert packing.assign(spark.createDataFrame([], "doc_id bigint, n_tokens bigint"), kinds).count() == 0
 
 
+def test_packing_of_rows_that_share_an_id(spark):
+    lengths = [(1, 25), (1, 25), (None, 25), (None, 31), (1, 4), (None, 0), (2, 10), (2, 10)]
+    kinds = spark.createDataFrame([("k", 10)], "kind string, capacity_tokens int")
+    got = packing.assign(spark.createDataFrame(lengths, "doc_id bigint, n_tokens bigint"), kinds, slot_rows=2).toPandas()
+    assert got.groupby("container")["n_tokens"].sum().max() <= 10
+    assert got["n_tokens"].sum() == sum(n for _, n in lengths) and len(got) == 3 + 3 + 3 + 4 + 4
+
+
 def test_token_counts(spark):
     pytest.importorskip("tiktoken")
     df = spark.createDataFrame([(1, "Hello world"), (2, None), (3, ""), (4, "<|endoftext|>"), (5, LONG)], "doc_id bigint, text string")
