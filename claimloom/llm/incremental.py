@@ -133,6 +133,9 @@ class BitIndex:
 
         A looked-up value keeps the key itself beside the finer ones: values stored before the split lie there.
         """
+        if sought:
+            # a small table is read in one task, but the keys are many
+            df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
         x = df.withColumn("_k", F.explode(self.sought(F.col("h")) if sought else self.stored(F.col("h")))).select(*df.columns, "_k.part", "_k.mask")
         if hot is not None:
             x = x.join(hot.select("part", F.lit(True).alias("_hot")), "part", "left")
