@@ -457,6 +457,47 @@ def test_leaks_of_long_and_repeated_stretches(spark):
     assert {tuple(r) for r in contamination.leaked_items(d, e).collect()} == {(1, 1), (2, 2), (3, 3)}
 
 
+@pytest.mark.parametrize("block_bytes", [8 << 20, 1])
+def test_leaks_of_every_length(spark, block_bytes):
+    rng = random.Random(9)
+    text = lambda n: [rng.choice(VOCABULARY) + rng.choice(VOCABULARY) for _ in range(n)]
+    sizes = [1, 2, 3, 4, 5, 6, 7, 9, 12, 20, 40, 66, 67, 90, 200, 1000, 4000, 8000, *([20_000] if block_bytes > 1 else [])]
+    passages = {i: text(n) if n > 3 else [f"q{i}x{k}" for k in range(n)] for i, n in enumerate(sizes)}
+    docs = {i: text(150) + p + text(150) for i, p in passages.items()}
+    # half of a passage, with every ninth word changed
+    for i, n in enumerate(sizes):
+        if n >= 40:
+            docs[100 + i] = text(70) + [w if k % 9 else "anders" for k, w in enumerate(passages[i][: int(n * 0.6) + 1])] + text(30)
+        elif n >= 6:
+            docs[100 + i] = text(70) + passages[i][: n // 3] + text(20)
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id bigint, text string")
+    e = spark.createDataFrame([(i, " ".join(w)) for i, w in passages.items()], "item_id bigint, passage string")
+    want = {(i, i) for i in passages} | {(i, 100 + i) for i, n in enumerate(sizes) if n >= 40}
+    assert {tuple(r) for r in contamination.leaked_items(d, e, block_bytes=block_bytes).collect()} == want
+
+
+def test_local_alignment_against_the_whole_table():
+    import numpy as np
+
+    def table(a, b):
+        best = 0
+        s = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                s[i][j] = max(0, s[i - 1][j - 1] + (1 if a[i - 1] == b[j - 1] else -1), s[i - 1][j] - 1, s[i][j - 1] - 1)
+                best = max(best, s[i][j])
+        return best
+
+    rng = random.Random(10)
+    for _ in range(200):
+        a = [rng.randrange(4) for _ in range(rng.randrange(1, 14))]
+        b = [rng.randrange(4) for _ in range(rng.randrange(1, 18))]
+        n, i0, i1, j0, j1 = contamination._local(np.array(a), np.array(b))
+        # the stretch it names has the best score, and its words are matched in order
+        assert table(a, b) == (table(a[i0:i1], b[j0:j1]) if n else 0)
+        assert n <= min(i1 - i0, j1 - j0) and 2 * n - max(i1 - i0, j1 - j0) >= table(a, b)
+
+
 # 8 -------------------------------------------------------------------------------------------------
 
 
