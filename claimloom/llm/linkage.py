@@ -212,8 +212,8 @@ def match_companies(org: DataFrame, register: DataFrame) -> DataFrame:
     rows = wide.mapInPandas(run, "id bigint, ent bigint, dn int, a int, near boolean, d_name double, d_site double")
     per = rows.groupBy("id", "ent").agg(F.min("dn").alias("dn"), F.max("a").alias("best_a"), F.min("a").alias("worst_a"), F.max("near").alias("near"), F.max("d_name").alias("d_name"), F.max("d_site").alias("d_site"))
     per = materialize(per, "fields")
-    ev = evidence(per.select("id", "ent", "dn", F.lit(None).cast("int").alias("ds")), rp, entity_parts(op, ent))
-    ev = ev.drop("dn", "ds").join(per, ["id", "ent"])
+    ev = evidence(per.select("id", "ent", "dn", F.lit(None).cast("int").alias("ds"), F.lit(False).alias("ab")), rp, entity_parts(op, ent))
+    ev = ev.drop("dn", "ds", "ab").join(per, ["id", "ent"])
     address = F.when(F.col("best_a") == 1, 1).when(F.col("worst_a") == -1, -1).otherwise(0)
     signs = [
         F.when(F.col("dn").isNotNull() | (F.coalesce("d_name", F.lit(0.0)) >= 0.85), 1).otherwise(-1).alias("name"),

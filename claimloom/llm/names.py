@@ -8,8 +8,11 @@ shorten a common word count as that word.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+
 from claimloom.functions.text import LEGAL_FORMS
 
 #: Common ways to write a country, by ISO code.
@@ -27,23 +30,10 @@ COUNTRIES = {
     "US": ["us", "usa", "united states", "u s a", "united states of america", "vereinigte staaten", "amerika"],
 }
 COUNTRY_CODE = {name: code for code, names in COUNTRIES.items() for name in names}
-#: Countries in which a legal form is used.
-FORM_COUNTRIES = {
-    "gesmbh": {"AT"}, "spa": {"IT"}, "srl": {"IT", "CH"}, "spzoo": {"PL"}, "sas": {"FR"}, "sarl": {"FR", "CH"}, "bv": {"NL"}, "aps": {"DK"},
-    "as": {"DK"}, "oy": {"FI"}, "oyj": {"FI"}, "oyab": {"FI"}, "llc": {"US"}, "inc": {"US"}, "corp": {"US"}, "corporation": {"US"},
-    "ltd": {"GB"}, "limited": {"GB"}, "gmbh": {"DE", "AT", "CH"}, "ag": {"DE", "AT", "CH"}, "kg": {"DE", "AT"}, "gmbhcokg": {"DE", "AT"},
-}
 #: Words around a name that do not tell organisations apart.
 FILLERS = {"und", "u", "and", "soehne", "sohn", "sons", "gebr", "gebrueder", "the", "der", "die", "werke", "werk", "gruppe", "group", "international", "company", "firma", "fa"}
 #: Words in host names that are no part of the owner's name.
 HOST_WORDS = {"www", "shop", "web", "m", "group", "international", "online", "info", "de", "at", "ch", "en", "uk", "it", "fr", "us", "nl", "pl", "fi", "dk", "com"}
-#: Words for lines of business in the trade, used beside those learned from the names.
-TRADES = [
-    "agricola", "baugeraete", "bohrtechnik", "controls", "cranes", "drilling", "engineering", "equipment", "fahrzeugbau", "foerdertechnik",
-    "forestry", "forsttechnik", "geraetebau", "hebetechnik", "hydraulik", "industries", "kommunaltechnik", "krantechnik", "landtechnik",
-    "lifting", "machinery", "manufacturing", "maschinenbau", "maschinenfabrik", "meccanica", "robotics", "steuerungsbau", "systems",
-    "umwelttechnik", "vehicles", "verwaltung", "beteiligung", "holding",
-]
 #: Words of companies that hold or run others; they tell nothing about the line of business.
 HOLDINGS = {"verwaltung", "beteiligung", "beteiligungen", "holding"}
 _FORMS = {*LEGAL_FORMS, "kommanditges", "kommanditgesellschaft", "ges", "m", "b", "h", "mbh", "co", "sp", "z", "o", "oo", "s", "p", "a", "r", "l", "g", "k", "v", "n", "i"}
@@ -102,8 +92,8 @@ def distance(a: str, b: str, most: int) -> int:
 
 
 def tolerance(n: int) -> int:
-    """Edits that two spellings of a word of ``n`` letters may differ by; words of over 40 letters must be equal."""
-    return 0 if n <= 4 or n > 40 else 1 if n <= 7 else 2
+    """Edits that two spellings of a word of ``n`` letters may differ by."""
+    return 0 if n <= 4 else 1 if n <= 7 else 2
 
 
 def deletions(word: str, depth: int) -> set[str]:
@@ -115,9 +105,31 @@ def deletions(word: str, depth: int) -> set[str]:
     return out
 
 
+#: Words up to this length are looked up by deletions, whose number grows with its square; longer ones by pieces.
+LONG_WORD = 40
+#: An edit spoils two neighbouring pieces at most (a swap across their border), so two edits leave one of five whole.
+PIECES = 5
+
+
+def lookup_keys(word: str, sought: bool) -> set[str]:
+    """Keys by which two words within their tolerance are sure to meet (one stored, one sought).
+
+    Words about ``LONG_WORD`` letters long give both kinds of keys, so that pairs across the border meet too.
+    """
+    n = len(word)
+    out = deletions(word, tolerance(n)) if n <= LONG_WORD + 2 else set()
+    if n > LONG_WORD - 2:
+        for m in range(n - 2, n + 3) if sought else [n]:
+            for k in range(PIECES):
+                at, end = m * k // PIECES, m * (k + 1) // PIECES
+                out |= {f"{m} {k} {word[i : i + end - at]}" for i in (range(max(at - 2, 0), at + 3) if sought else [at]) if i + end - at <= n}
+    return out
+
+
 @dataclass
 class Name:
     core: list[str] = field(default_factory=list)  # distinctive tokens in order
+    tokens: list[str] = field(default_factory=list)  # the same with initials and other short tokens
     business: list[frozenset[str]] = field(default_factory=list)  # for each common word the words it may stand for
     forms: set[str] = field(default_factory=set)
 
@@ -126,7 +138,7 @@ class Parser:
     """Takes names apart; ``common`` are the frequent words of the names at hand (business words)."""
 
     def __init__(self, common: set[str]):
-        self.common = {w for w in {*common, *TRADES} if len(w) >= 4 and w not in _FORMS and w not in FILLERS}
+        self.common = {w for w in common if len(w) >= 4 and w not in _FORMS and w not in FILLERS}
         self.heads: dict[str, set[str]] = {}
         for w in self.common:
             for n in range(3, len(w)):
@@ -165,32 +177,41 @@ class Parser:
         # dotted forms first: s.p.a., g.m.b.h., sp. z o.o.
         flat = re.sub(r"\b((?:[a-z]{1,2}\.\s?){2,}[a-z]{0,2}\b\.?|sp\.?\s?z\.?\s?o\.?\s?o\.?|ges\.?\s?m\.?\s?b\.?\s?h\.?|a/s)", lambda m: _form(m.group(0), out), x)
         inside, last = False, ""
-        for t in re.findall(r"[a-z0-9]+|[()]", flat):
+        found = re.findall(r"[a-z0-9]+|[()]", flat)
+        # single letters that spell a legal form (g m b h, s p a) are one; other short tokens are initials or names
+        skip = set()
+        for i in range(len(found)):
+            for n in (4, 3, 2):
+                run = found[i : i + n]
+                if i not in skip and len(run) == n and all(len(t) <= 2 and t.isalpha() for t in run) and "".join(run) in LEGAL_FORMS:
+                    out.forms.add("".join(run))
+                    skip.update(range(i, i + n))
+        for i, t in enumerate(found):
             if t in "()":
                 inside = t == "("
+            elif i in skip:
+                continue
             elif t in LEGAL_FORMS:
                 out.forms.add(t)
-            elif t in _FORMS or t in FILLERS:
-                continue
-            elif t in HOLDINGS:
+            elif t in FILLERS or t in HOLDINGS or (t in _FORMS and len(t) > 1):
                 continue
             elif out.business and last == "business" and (m := {w for w in out.business[-1] if w.find(t, 3) >= 3}) and len(t) >= 3:
                 out.business[-1] = frozenset(m)  # the second part of a split compound (kran-tech, masch. fabr.)
             elif m := self.meanings(t):
                 out.business.append(m)
                 last = "business"
-            elif inside or len(t) <= 2:
-                continue  # a place or country in brackets; initials
+            elif inside:
+                continue  # a place or country in brackets
+            elif len(t) <= 2:
+                out.tokens.append(t)
             else:
                 out.core.append(t)
+                out.tokens.append(t)
                 last = "core"
+        if not out.core:
+            out.core = list(out.tokens)  # a name of short tokens only
         return out
 
-    def cores(self, n: Name) -> list[str]:
-        """Spellings of the core to look up: all distinctive tokens as one word, then each of some length."""
-        whole = "".join(n.core)
-        return list(dict.fromkeys(w for w in (whole, *n.core) if len(w) >= 2))
-
     def stem(self, host: str | None) -> str | None:
         """The owner's name in a host name, without common words and endings."""
         if not host:
@@ -265,36 +286,50 @@ def token_similarity(a: str, b: str) -> float:
     return 0.0
 
 
-def align(a: list[str], b: list[str]) -> float:
+def best_assignment(gain: np.ndarray) -> float:
+    """The largest total of one entry a row (rows <= columns), no column twice; gains are not negative.
+
+    Rows are added one by one along a cheapest alternating path; the work grows with rows^2 x columns.
+    """
+    n, m = gain.shape
+    cost = gain.max() - gain
+    u, v = np.zeros(n + 1), np.zeros(m + 1)
+    owner = np.zeros(m + 1, dtype=np.int64)  # row of each column, 0 for none
+    for i in range(1, n + 1):
+        owner[0] = i
+        at, least, way, used = 0, np.full(m + 1, np.inf), np.zeros(m + 1, dtype=np.int64), np.zeros(m + 1, bool)
+        while True:
+            used[at] = True
+            row = owner[at]
+            here = cost[row - 1] - u[row] - v[1:]
+            better = ~used[1:] & (here < least[1:])
+            least[1:][better] = here[better]
+            way[1:][better] = at
+            open_ = np.where(used, np.inf, least)
+            open_[0] = np.inf
+            to = int(open_.argmin())
+            step = open_[to]
+            u[owner[used]] += step
+            v[used] -= step
+            least[~used] -= step
+            at = to
+            if not owner[at]:
+                break
+        while at:
+            owner[at] = owner[way[at]]
+            at = way[at]
+    return float(sum(gain[owner[j] - 1, j - 1] for j in range(1, m + 1) if owner[j]))
+
+
+def align(a: Sequence[str], b: Sequence[str]) -> float:
     """Share of the shorter name's letters that an optimal assignment of its tokens to the other's explains.
 
-    Exact over subsets for up to ten tokens of the longer name, by best pairs first up to sixty, by equal tokens
-    beyond that.
+    A name's repeated tokens count once.  Exact at every length.
     """
+    a, b = list(dict.fromkeys(a)), list(dict.fromkeys(b))
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return 0.0
-    weight = [max(len(x), 1) for x in a]
-    if len(b) > 60:
-        have = set(b)
-        return sum(w for x, w in zip(a, weight) if x in have) / sum(weight)
-    sim = [[w * token_similarity(x, y) for y in b] for x, w in zip(a, weight)]
-    if len(b) <= 10:
-        best = {0: 0.0}
-        for row in sim:
-            nxt = dict(best)
-            for used, v in best.items():
-                for j, s in enumerate(row):
-                    if s and not used >> j & 1:
-                        k = used | 1 << j
-                        if v + s > nxt.get(k, -1.0):
-                            nxt[k] = v + s
-            best = nxt
-        total = max(best.values())
-    else:
-        total, ra, rb = 0.0, set(), set()
-        for s, i, j in sorted(((s, i, j) for i, row in enumerate(sim) for j, s in enumerate(row) if s), reverse=True):
-            if i not in ra and j not in rb:
-                total, _, _ = total + s, ra.add(i), rb.add(j)
-    return total / sum(weight)
+    gain = np.array([[len(x) * token_similarity(x, y) for y in b] for x in a])
+    return (float(gain.max()) if len(a) == 1 else best_assignment(gain)) / sum(len(x) for x in a)

@@ -19,19 +19,40 @@ from claimloom.session import materialize
 PARTS = "id bigint, core string, strings array<string>, business array<string>, bkey string, country string, hosts array<string>, stems array<string>, tokens array<string>"
 
 
+def spellings_merged(pairs: DataFrame, group: str, word: str) -> DataFrame:
+    """``(group, n, k)``: how many words of ``pairs(group, word)`` stand in each group, slips of one word counted as
+    one (``n``), and how many as they are spelled (``k``).
+
+    Words of up to 40 letters that share a key after one deletion take the least word under it, twice over, so the
+    slips of a word end at one spelling.  Built-in expressions and two aggregations a step, however large a group is.
+    """
+    w = F.col(word)
+    one_less = F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+    keyed = pairs.distinct().where(F.length(w) > 0).select(group, word, F.col(word).alias("_l"), F.explode(F.when(F.length(w) <= 40, F.array_append(F.array_distinct(one_less), w)).otherwise(F.array(w))).alias("_k"))
+    for _ in range(2):
+        least = keyed.groupBy(group, "_k").agg(F.min("_l").alias("_m"))
+        label = keyed.join(least, [group, "_k"]).groupBy(group, word).agg(F.min("_m").alias("_l"))
+        keyed = keyed.drop("_l").join(label, [group, word])
+    return keyed.groupBy(group).agg(F.count_distinct("_l").alias("n"), F.count_distinct(word).alias("k"))
+
+
 def common_words(names: DataFrame, column: str, share: float = 0.003, least: int = 8, ratio: float = 0.1) -> set[str]:
-    """Words that stand beside many different other words: business words and legal forms.
+    """Words that stand near many different other words: business words.
 
-    A name that a large part of all rows repeats has many rows but few different companions, so it stays
-    distinctive.  At most ``1 / share`` words times the words of a name are returned.
+    Near is up to three words away.  Slips of one companion count as one, so a firm with very many rows, whose few
+    companions are typed in many ways, stays distinctive.  At most ``7 / share`` words times the words of a name.
     """
-    w = names.select(F.array_distinct(words(F.col(column))).alias("w")).where(F.size("w").between(2, 40)).distinct()
-    pairs = w.select(F.explode("w").alias("t"), "w").select("t", F.explode("w").alias("u")).where("t <> u and length(t) >= 4 and length(u) >= 4")
-    n = w.select(F.explode("w").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    beside = pairs.distinct().groupBy("t").agg(F.count(F.lit(1)).alias("k"))
-    total = w.count()
-    rows = beside.join(n, "t").where((F.col("k") >= F.greatest(F.lit(least), F.lit(share * total))) & (F.col("k") >= ratio * F.col("n"))).select("t").collect()
-    return {r["t"] for r in rows}
+    w = materialize(names.select(F.array_distinct(words(F.col(column))).alias("w")).where(F.size("w") > 1).distinct(), "words")
+    size = F.size("w")
+    shifted = F.transform(F.array(*[F.lit(i) for i in (1, 2, 3)]), lambda i: F.arrays_zip(F.slice("w", F.lit(1), F.greatest(size - i, F.lit(0))).alias("t"), F.slice("w", i + 1, size).alias("u")))
+    near = w.select(F.explode(F.flatten(shifted)).alias("x")).select("x.t", "x.u")
+    near = near.union(near.select("u", "t")).where("length(t) >= 4 and length(u) >= 4").distinct()
+    n = w.select(F.explode("w").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("sets"))
+    floor = max(least, share * w.count())
+    often = near.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= floor).join(n, "t").where(F.col("c") >= ratio * F.col("sets"))
+    often = materialize(often, "often")
+    merged = spellings_merged(near.join(often.select("t"), "t", "left_semi"), "t", "u").join(often, "t")
+    return {r["t"] for r in merged.where((F.col("n") >= floor) & (F.col("n") >= ratio * F.col("sets"))).select("t").collect()}
 
 
 def parts(rows: DataFrame, common: set[str], names: list[str], country: str, hosts: list[str], id_col: str) -> DataFrame:
@@ -49,17 +70,16 @@ def parts(rows: DataFrame, common: set[str], names: list[str], country: str, hos
                 first = next((x for x in parsed if x.core), parsed[0])
                 strings: dict[str, None] = {}
                 for x in parsed:
-                    whole = "".join(x.core)
-                    if len(whole) >= 4:
-                        strings[whole] = None
+                    if x.core:
+                        strings["".join(x.core)] = None
                     for t in x.core:
-                        if len(t) >= 6:
+                        if len(t) >= 4:
                             strings[t] = None
                 business = next((x.business for x in parsed if x.business), [])
                 found = list(dict.fromkeys(h for i in range(len(hosts)) if (h := host_of(getattr(r, f"h{i}")))))
                 stems = [p.stem(h) or "" for h in found]
                 b = ["|".join(sorted(x)) for x in business]
-                out.append((r.id, "".join(first.core), list(strings), b, "+".join(sorted(b)), country_code(r.country), found, stems, list(first.core)))
+                out.append((r.id, "".join(first.core), list(strings), b, "+".join(sorted(b)), country_code(r.country), found, stems, list(first.tokens)))
             yield pd.DataFrame(out, columns=["id", "core", "strings", "business", "bkey", "country", "hosts", "stems", "tokens"])
 
     cols = [F.col(id_col).cast("bigint").alias("id"), F.col(country).alias("country")]
@@ -67,10 +87,16 @@ def parts(rows: DataFrame, common: set[str], names: list[str], country: str, hos
     return rows.where(F.col(id_col).isNotNull()).select(*cols).mapInPandas(run, PARTS)
 
 
-def shared_hosts(org_parts: DataFrame, least: int = 5) -> DataFrame:
-    """``(host)`` of the sites that list organisations with many different names, such as directories."""
-    h = org_parts.where("core <> ''").select(F.explode("hosts").alias("host"), "core")
-    return h.distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("host")
+def shared_hosts(org_parts: DataFrame, least: int = 5, share: float = 0.2) -> DataFrame:
+    """``(host)`` of the sites that list many different organisations, such as directories.
+
+    Spellings of one name count as one; a site is shared if it lists at least ``least`` names that are at least
+    ``share`` of the spellings on it, so a firm's own site stays its own however many rows give it.
+    """
+    h = org_parts.where("core <> ''").select(F.explode("hosts").alias("host"), "core").distinct()
+    many = h.groupBy("host").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least).select("host")
+    merged = spellings_merged(h.join(many, "host", "left_semi"), "host", "core")
+    return merged.where((F.col("n") >= least) & (F.col("n") >= share * F.col("k"))).select("host")
 
 
 def without_shared(rows: DataFrame, shared: DataFrame) -> DataFrame:

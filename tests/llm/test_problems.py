@@ -138,6 +138,78 @@ def test_variants(spark):
     assert got == {(1, 1), (2, 1), (3, 2), (4, 3), (6, 7)}
 
 
+def test_variants_with_short_names_and_initials(spark):
+    o = [
+        (1, "JLG Industries Inc", None, None, None, "US", None, None),
+        (2, "Hansen Karl Weber GmbH", None, None, None, "DE", None, None),
+        (3, "Gagrajekix Hydraulik GmbH", None, None, None, "AT", None, None),
+        (4, "3M", None, None, None, "US", None, None),
+        (5, "Bordukalem Sondrivak KG", None, None, None, "DE", None, None),
+        (6, "w" * 20_000 + " GmbH", None, None, None, "DE", None, None),
+    ]
+    s = [
+        (1, "JLG Industries Inc", "US", None, None),
+        (2, "H. K. Weber GmbH", "DE", None, None),
+        (3, "Hansen K. Weber", "DE", None, None),
+        (4, "Gagraj Hydraulik", "AT", None, None),
+        (5, "3M", "USA", None, None),
+        (6, "Bordukalem Farnitokel", "DE", None, None),  # one of two words
+        (7, "w" * 9_999 + "x" + "w" * 10_000, "DE", None, None),
+        (8, "Gagraj", None, None, None),  # an abbreviation without evidence
+        (9, "JLX Inc", "US", None, None),
+    ]
+    got = {tuple(r) for r in variants.link_variants(seeds(spark, s), orgs(spark, o)).collect()}
+    assert got == {(1, 1), (2, 2), (2, 3), (3, 4), (4, 5), (6, 7)}
+
+
+def test_own_sites_and_words_stay_own_however_many_rows(spark):
+    from claimloom.llm.parties import common_words, shared_hosts
+
+    rng = random.Random(21)
+
+    def typed(w):
+        i = rng.randrange(1, len(w) - 1)
+        return rng.choice([w[:i] + w[i + 1 :], w[:i] + "x" + w[i:], w[:i] + w[i + 1] + w[i] + w[i + 2 :]])
+
+    def name():
+        return "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(5))
+
+    rows = [("falkodrim" if i % 4 == 0 else typed("falkodrim"), "falkodrim.test") for i in range(60)]
+    rows += [(name(), "directory.test") for _ in range(12)] + [("a", "small.test"), ("b", "small.test")]
+    df = spark.createDataFrame([(c, [h]) for c, h in rows], "core string, hosts array<string>")
+    assert [r.host for r in shared_hosts(df).collect()] == ["directory.test"]
+    trades = ["krantechnik", "landtechnik"]
+    names = [(f"{name()} {rng.choice(trades)} gmbh",) for _ in range(60)] + [(f"falkodrim {typed('krantechnik')}",) for _ in range(60)]
+    words = common_words(spark.createDataFrame(names, "n string"), "n")
+    assert set(trades) <= words and "falkodrim" not in words
+
+
+def test_assignment_against_all_permutations():
+    import itertools
+
+    import numpy as np
+
+    from claimloom.llm.names import best_assignment, lookup_keys
+
+    rng = random.Random(1)
+    for _ in range(200):
+        n = rng.randrange(1, 5)
+        m = rng.randrange(n, 7)
+        g = np.array([[rng.choice([0, 0, rng.random() * 5]) for _ in range(m)] for _ in range(n)])
+        assert abs(best_assignment(g) - max(sum(g[i, c] for i, c in enumerate(p)) for p in itertools.permutations(range(m), n))) < 1e-9
+    assert align(["h", "k", "weber"], ["hansen", "karl", "weber"]) > 0.8 and align(["wort"] * 20_000, ["wort", "x"]) == 1
+    many = [f"w{i}x" for i in range(70)]
+    assert align(many, many[::-1]) == 1
+    for _ in range(500):
+        w = "".join(rng.choice("ab") for _ in range(rng.randrange(36, 60)))
+        v = w
+        for _ in range(rng.randrange(3)):
+            i = rng.randrange(len(v))
+            v = rng.choice([v[:i] + v[i + 1 :], v[:i] + "a" + v[i:], v[:i] + v[i + 1 : i + 2] + v[i : i + 1] + v[i + 2 :], v[:i] + "c" + v[i + 1 :]])
+        if distance(w, v, 2) <= 2:
+            assert lookup_keys(w, True) & lookup_keys(v, False)
+
+
 def test_variants_of_nothing(spark):
     assert variants.link_variants(seeds(spark, SEEDS[:0]), orgs(spark, ORGS)).count() == 0
     assert variants.link_variants(seeds(spark, SEEDS), orgs(spark, ORGS[:0])).count() == 0
