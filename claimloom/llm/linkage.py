@@ -1,12 +1,15 @@
 """Matching entities across sources without keys.
 
-Every field is encoded as a fixed bit vector of its q-grams.  Pairs whose vectors of the name, the site or the
-address are close are found exactly by multi-index Hamming hashing: two vectors within r bits agree in full in
-``match`` of ``bands`` stripes when bands - match >= r.  Two edits of a name change up to 12 bits of its vector,
-which no stripes find at a bearable cost; so names and sites are also looked up in the symmetric-delete index,
-which holds every pair within the accepted edits.  Candidates get a Dice coefficient for each field;
-their agreement patterns are turned into calibrated confidences by expectation maximisation over all
-candidates (two latent classes, fields independent within a class), and a check of the evidence follows.
+Name, site and address are encoded as fixed bit vectors of their q-grams.  Pairs whose vectors are close are found
+exactly by multi-index Hamming hashing: two vectors within r bits agree in full in ``match`` of ``bands`` stripes
+when bands - match >= r.  Two edits of a name change up to 12 bits of its vector, which no stripes find at a
+bearable cost; so names and sites are also looked up in the symmetric-delete index, which holds every pair within
+the accepted edits.
+
+Candidates get a Dice coefficient for each of the three fields.  How the levels of the Dice coefficients, country
+and line of business are spread over matches and other candidates is estimated by expectation maximisation (two
+latent classes); a logistic model fitted to it gives each field its weight, and the weighted Dice scores of a pair
+its calibrated confidence.  Pairs below the least confidence are dropped; a check of the evidence follows.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -87,36 +92,61 @@ def encoded(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "id bigint, v_name bigint, v_code bigint, v_place bigint, v_sites array<bigint>, street string, number string, code string")
 
 
-def close_vectors(left: DataFrame, right: DataFrame, radius: int, bands: int, match: int) -> DataFrame:
-    """``(a, b)``: all pairs of different vectors ``left(a)`` and ``right(b)`` within ``radius`` bits, exactly."""
+def stripe_keys(v: Column, bands: int, match: int) -> Column:
+    """Array of bigint: one key for every choice of ``match`` of ``bands`` stripes of a 64-bit vector."""
+    edges = [64 * i // bands for i in range(bands + 1)]
+    stripes = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
+    masks = [_signed(sum(stripes[i] for i in c)) for c in combinations(range(bands), match)]
+    # one small expression over a constant array: a list of hashes would be a huge generated method
+    return F.transform(F.lit(masks).cast("array<bigint>"), lambda m: F.xxhash64(v.bitwiseAND(m), m))
+
+
+def close_vectors(left: DataFrame, right: DataFrame, radius: int, bands: int, match: int, block: str | None = None) -> DataFrame:
+    """``(a, b)``: all pairs of different vectors ``left(a)`` and ``right(b)`` within ``radius`` bits, exactly.
+
+    With ``block``, a column of both tables, only pairs that share a value of it.  Sparse vectors share stripes
+    without any bit; a block splits the keys that come of it.
+    """
     if bands - match < radius:
         raise ValueError("the search is exact up to bands - match bits only")
-    key = lambda t, c: t.select(c, F.explode(part_hashes(F.col(c), bands, match)).alias("key"))
+    on = ["key"] if block is None else ["key", block]
+
+    def key(t: DataFrame, c: str) -> DataFrame:
+        # a small table is read in one task, but the keys are many
+        t = t.repartition(t.sparkSession.sparkContext.defaultParallelism)
+        return t.select(c, *on[1:], F.explode(stripe_keys(F.col(c), bands, match)).alias("key"))
+
     # the keys are many times the vectors that the planner sees: never broadcast them
-    near = key(left, "a").hint("merge").join(key(right, "b"), "key").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
+    near = key(left, "a").hint("merge").join(key(right, "b"), on).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
     return near.select("a", "b").distinct()
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, ent: DataFrame, op: DataFrame, rp: DataFrame) -> DataFrame:
     """``(id, ent)``: rows of ``right`` and entities of ``left`` close in name, site or address.
 
-    ``op`` and ``rp`` are their parts: all pairs whose whole cores (from four letters on) or sites are within the
-    accepted edits are among them.  A single common word of longer cores makes no candidate: at 30000 rows that
+    ``op`` and ``rp`` are their parts: all pairs whose whole cores (from two letters on) or sites are within the
+    accepted edits are among them, and all pairs of names within 4 bits that share a country or a business word
+    (a name alone makes no match).  A single common word of longer cores makes no candidate: at 30000 rows that
     added 286 pairs, and the 14 that were read shared a business word only.
     """
     out = None
     for spelled in (F.array("core"), F.col("stems")):
-        take = lambda t, n, c=spelled: t.select("id", F.explode(c).alias(n)).where(F.length(n) >= 4)
+        take = lambda t, n, c=spelled: t.select("id", F.explode(c).alias(n)).where(F.length(n) >= 2)
         a = materialize(take(rp, "a").distinct(), "spelled")
         b = materialize(take(op, "b").join(ent, "id").select("ent", "b").distinct(), "spelled")
         near = similar_strings(a.select("a").distinct(), b.select("b").distinct())
         pairs = a.join(near, "a").select("id", "b").join(b, "b").select("id", "ent")
         out = pairs if out is None else out.union(pairs)
-    for col, radius, bands, match in (("v_name", 6, 9, 3), ("v_code", 4, 8, 4), ("v_place", 6, 9, 3), ("v_sites", 0, 1, 1)):
-        take = lambda t, n, c=col: t.select("id", (F.explode(c) if c == "v_sites" else F.col(c)).alias(n)).where(f"{n} is not null")
+    business = F.flatten(F.transform("business", lambda w: F.split(w, r"\|")))
+    blocks = lambda p: p.select("id", F.explode(F.array_distinct(F.concat(business, F.coalesce(F.array(F.concat(F.lit("="), "country")), F.array())))).alias("block"))
+    for col, radius, bands, match in (("v_name", 4, 7, 3), ("v_code", 4, 8, 4), ("v_place", 6, 9, 3)):
+        take = lambda t, n, c=col: t.select("id", F.col(c).alias(n)).where(f"{n} is not null")
         a = materialize(take(right, "a").distinct(), "vec")
         b = materialize(take(left, "b").join(ent, "id").select("ent", "b").distinct(), "vec")
-        near = close_vectors(a.select("a").distinct(), b.select("b").distinct(), radius, bands, match)
+        if col == "v_name":
+            near = close_vectors(take(right, "a").join(blocks(rp), "id").select("a", "block").distinct(), take(left, "b").join(blocks(op), "id").select("b", "block").distinct(), radius, bands, match, "block")
+        else:
+            near = close_vectors(a.select("a").distinct(), b.select("b").distinct(), radius, bands, match)
         pairs = a.join(near, "a").select("id", "b").join(b, "b").select("id", "ent")
         out = out.union(pairs)
     return out.distinct()
@@ -127,33 +157,121 @@ def dice(a: Column, b: Column) -> Column:
     return 2 * F.bit_count(a.bitwiseAND(b)) / (F.bit_count(a) + F.bit_count(b))
 
 
-FIELDS = ("name", "business", "country", "site", "address")
+#: Fields with a Dice coefficient, and fields that agree (1), differ (-1) or are unknown (0).
+DICE_FIELDS, SIGN_FIELDS = ("d_name", "d_site", "d_address"), ("business", "country")
+#: Lower bounds of the levels at which Dice coefficients are counted; level 0 is a missing field.
+LEVELS = (0.0, 0.4, 0.6, 0.75, 0.85, 0.95)
 
 
-def calibrate(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 100) -> dict[tuple[int, ...], float]:
-    """Confidence of each agreement pattern (-1 differs, 0 unknown, 1 agrees) by expectation maximisation.
+def level(d: Column) -> Column:
+    """0 for a missing Dice coefficient, else the number of bounds that it reaches."""
+    return F.when(d.isNull(), 0).otherwise(sum(((d >= b).cast("int") for b in LEVELS), F.lit(0)))
 
-    Weighs nothing where a field is unknown.  Starts from the belief that matches agree and others do not.
+
+@dataclass
+class Confidence:
+    """``1 / (1 + exp(-(intercept + sum of weights x values)))``.
+
+    A Dice field has the weight of every level that its Dice reaches and, within a level, the share of the way to
+    the next one of that one's weight, so the score rises steadily with the Dice.  A missing field and one that does
+    not agree at all add nothing: a company may be registered under another name.  A sign field's value is its sign.
+    """
+
+    intercept: float
+    steps: dict[str, list[float]]
+    signs: dict[str, float]
+
+    def column(self) -> Column:
+        x = F.lit(self.intercept)
+        ends = (*LEVELS[1:], 1.0)
+        for f in DICE_FIELDS:
+            for low, high, w in zip(LEVELS[1:], ends[1:], self.steps[f]):
+                # half the weight on reaching the level, the rest on the way to the next
+                way = F.least(F.greatest((F.col(f) - low) / (high - low), F.lit(0.0)), F.lit(1.0))
+                x = x + F.coalesce(F.when(F.col(f) >= low, w * (0.5 + 0.5 * way)), F.lit(0.0))
+        for f in SIGN_FIELDS:
+            x = x + self.signs[f] * F.col(f)
+        return 1 / (1 + F.exp(-x))
+
+
+#: The model before anything is counted: a name with a country or business, or site and address, make a match.
+PRIOR = Confidence(
+    -6.5,
+    {"d_name": [0.0, 3.0, 1.5, 1.0, 0.5], "d_site": [0.0, 0.5, 1.0, 1.5, 1.5], "d_address": [0.0, 0.0, 0.5, 1.5, 2.5]},
+    {"business": 2.0, "country": 1.5},
+)
+
+
+def _ruled_out(r: dict) -> bool:
+    """Whether the problem itself says that such a pair is no match: a shared address, name or site alone, or a
+    namesake with another line of business in another country."""
+    name, site, address = (r[f"l_{f}"] for f in DICE_FIELDS)
+    other = name <= LEVELS.index(0.4) + 1  # two edits of a name leave it a Dice of 0.6, but for short ones
+    one_site, one_address = site > LEVELS.index(0.85), address > LEVELS.index(0.75)
+    clash = r["business"] == -1 and r["country"] == -1
+    return other and not (one_site and one_address) or clash and not one_site and not one_address
+
+
+def calibrate(counts: list[dict], rounds: int = 200) -> Confidence:
+    """The model of confidence from ``counts``: how many candidates (``n``) have each pattern of levels and signs,
+    with the sums of their Dice coefficients.
+
+    First two latent classes over the levels by expectation maximisation, a missing field weighing nothing, starting
+    from the belief that matches agree; what the problem rules out stays no match (``_ruled_out``).  Then a logistic
+    model of the classes with a weight for each field, none below zero.
     """
-    if not patterns:
-        return {}
-    x = np.array([p for p, _ in patterns])
-    n = np.array([c for _, c in patterns], dtype=float)
-    known, agree = x != 0, x == 1
-    m = np.full(x.shape[1], 0.9)
-    u = np.full(x.shape[1], 0.2)
-    prior = 0.3
+    fields = (*DICE_FIELDS, *SIGN_FIELDS)
+    if not counts:
+        return PRIOR
+    n = np.array([r["n"] for r in counts], dtype=float)
+    at = {f: np.array([r[f"l_{f}"] if f in DICE_FIELDS else (r[f] + 2) % 3 for r in counts]) for f in fields}  # -1, 0, 1 as 1, 2, 0
+    none = {f: 0 if f in DICE_FIELDS else 2 for f in fields}
+    size = {f: len(LEVELS) + 1 if f in DICE_FIELDS else 3 for f in fields}
+    # belief at the start: a Dice level or sign speaks for a match the higher it is
+    start = {f: np.linspace(0, 1, size[f]) if f in DICE_FIELDS else np.array([0.9, 0.1, 0.5]) for f in fields}
+    g = np.mean([np.where(at[f] == none[f], 0.4, start[f][at[f]]) for f in fields], axis=0)
+    out = np.array([_ruled_out(r) for r in counts])
+    g = np.where(out, 0.0, 1 / (1 + np.exp(-8 * (g - 0.55))))
     for _ in range(rounds):
-        log_m = np.where(known, np.where(agree, np.log(m), np.log(1 - m)), 0).sum(1) + math.log(prior)
-        log_u = np.where(known, np.where(agree, np.log(u), np.log(1 - u)), 0).sum(1) + math.log(1 - prior)
-        g = 1 / (1 + np.exp(np.clip(log_u - log_m, -50, 50)))
         prior = float(np.clip((g * n).sum() / n.sum(), 1e-3, 0.999))
-        wm, wu = (g * n)[:, None] * known, ((1 - g) * n)[:, None] * known
-        # one pseudo case each way keeps every share away from 0 and 1
-        m = ((wm * agree).sum(0) + 1) / (wm.sum(0) + 2)
-        u = np.minimum(((wu * agree).sum(0) + 1) / (wu.sum(0) + 2), m - 1e-3)
-        u = np.clip(u, 1e-4, 0.999)
-    return {tuple(int(v) for v in row): float(c) for row, c in zip(x, g)}
+        score = np.full(len(n), math.log(prior / (1 - prior)))
+        for f in fields:
+            known = at[f] != none[f]
+            if not known.any():
+                continue
+            m, u = (np.bincount(at[f][known], weights=(w * n)[known], minlength=size[f]) for w in (g, 1 - g))
+            # ten pseudo cases of the first belief keep every share away from 0 and carry very small tables
+            m, u = (c + 10 * b / b.sum() for c, b in ((m, start[f] + 0.02), (u, 1.02 - start[f])))
+            m, u = m / m.sum(), u / u.sum()
+            score += np.where(known, np.log(m / u)[at[f]], 0.0)
+        g = np.where(out, 0.0, 1 / (1 + np.exp(-np.clip(score, -30, 30))))
+    ends = (*LEVELS[1:], 1.0)
+    cols = []
+    for f in DICE_FIELDS:
+        mean = np.array([(r[f"s_{f}"] or 0.0) / max(r["n"], 1) for r in counts])
+        for low, high in zip(LEVELS[1:], ends[1:]):
+            way = np.clip((mean - low) / (high - low), 0.0, 1.0)
+            cols.append(np.where((at[f] != none[f]) & (mean >= low), 0.5 + 0.5 * way, 0.0))
+    cols += [np.array([r[f] for r in counts], dtype=float) for f in SIGN_FIELDS]
+    x = np.column_stack([np.ones(len(n)), *cols])
+    first = np.array([PRIOR.intercept, *(w for f in DICE_FIELDS for w in PRIOR.steps[f]), *(PRIOR.signs[f] for f in SIGN_FIELDS)])
+    w = first.copy()
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (n * (g - p)) - 0.5 * (w - first)
+        # a weight at zero moves only where agreement speaks for a match
+        free = (w > 0) | (slope > 0)
+        free[0] = True
+        xf = x[:, free]
+        step = np.linalg.solve(xf.T @ ((n * np.maximum(p * (1 - p), 1e-6))[:, None] * xf) + 0.5 * np.eye(free.sum()), slope[free])
+        step *= min(1.0, 4.0 / np.abs(step).max())
+        w[free] += step
+        w[1:] = np.maximum(w[1:], 0.0)
+        if np.abs(step).max() < 1e-8:
+            break
+    k = len(LEVELS) - 1
+    steps = {f: w[1 + i * k : 1 + (i + 1) * k].tolist() for i, f in enumerate(DICE_FIELDS)}
+    return Confidence(float(w[0]), steps, dict(zip(SIGN_FIELDS, w[1 + k * len(DICE_FIELDS) :].tolist())))
 
 
 def _near_host(a: str, b: str) -> bool:
@@ -162,26 +280,23 @@ def _near_host(a: str, b: str) -> bool:
     return distance(a, b, most) <= most
 
 
-def _same_address(s1: str, n1: str, c1: str, s2: str, n2: str, c2: str) -> int:
-    """1 for the same house, -1 for another, 0 where number or street is missing on either side."""
+def _compared_address(s1: str, n1: str, c1: str, s2: str, n2: str, c2: str) -> tuple[int, float | None]:
+    """Whether two addresses are the same house (1), another (-1) or not comparable (0), and the Dice coefficient of
+    their words, number and code, slips allowed.  What is missing on one side does not count."""
     if not s1 or not s2 or not n1 or not n2:
-        return 0
-    if n1 != n2:
-        return -1
+        return 0, None
     a, b = s1.split(" "), s2.split(" ")
     hits = sum(any(distance(x, y, 2) <= tolerance(min(len(x), len(y))) for y in b) for x in a)
     code = bool(c1 and c2 and (c1 == c2 or distance(c1, c2, 1) <= 1))
-    return 1 if hits >= 2 or (hits >= 1 and (code or min(len(a), len(b)) == 1)) else -1
-
+    coded = bool(c1 and c2)
+    share = 2 * (min(hits, len(b)) + (n1 == n2) + code) / (len(a) + len(b) + 2 + 2 * coded)
+    if n1 != n2:
+        return -1, share
+    return 1 if hits >= 2 or (hits >= 1 and (code or min(len(a), len(b)) == 1)) else -1, share
 
-def match_companies(org: DataFrame, register: DataFrame) -> DataFrame:
-    """``(org_id, entry_id, confidence)`` of every organisation row and register entry that are the same company.
 
-    A pair needs its name and one further field, or site and address together (a company registered under
-    another name); a related name with another line of business in another country is a namesake, another
-    name at the same address a neighbour, another name on the same site a dealer.  Missing fields speak
-    neither way; rows without name, site and address match nothing; repeated rows match alike.
-    """
+def scored_candidates(org: DataFrame, register: DataFrame) -> tuple[DataFrame, DataFrame, Confidence]:
+    """Candidates ``(id, ent)`` with their fields and confidence, the entities, and the model of confidence."""
     op, rp, ent = prepared(org, register, ["legal_name"], "country", ["homepage"], "entry_id")
     both = lambda parts, rows, cols, key: parts.select("id", "core", "stems").join(
         rows.select(F.col(key).cast("bigint").alias("id"), F.array(*cols).alias("pieces")), "id"
@@ -190,47 +305,67 @@ def match_companies(org: DataFrame, register: DataFrame) -> DataFrame:
     right = materialize(encoded(both(rp, register, ["address_lines", "postal_code", "city"], "entry_id")), "right")
     cand = materialize(candidate_pairs(left, right, ent, op, rp), "pairs")
     # distances of name and site are taken from the best of the entity's rows
-    lrows = left.select(F.col("id").alias("oid"), *[F.col(c).alias(f"o_{c}") for c in ("v_name", "v_sites", "street", "number", "code")]).join(
+    vectors = ("v_name", "v_sites", "v_code", "v_place", "street", "number", "code")
+    lrows = left.select(F.col("id").alias("oid"), *[F.col(c).alias(f"o_{c}") for c in vectors]).join(
         op.select(F.col("id").alias("oid"), F.col("strings").alias("o_strings"), F.col("hosts").alias("o_hosts")), "oid"
     ).join(ent.select(F.col("id").alias("oid"), "ent"), "oid")
-    lrows = lrows.select("ent", "o_v_name", "o_v_sites", "o_street", "o_number", "o_code", "o_strings", "o_hosts").distinct()
-    rrows = right.select("id", "v_name", "v_sites", "street", "number", "code").join(rp.select("id", "strings", "hosts"), "id")
+    lrows = lrows.drop("oid").distinct()
+    rrows = right.select("id", *vectors).join(rp.select("id", "strings", "hosts"), "id")
     wide = cand.join(rrows, "id").join(lrows, "ent")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            addr = [_same_address(*t) for t in zip(f["street"], f["number"], f["code"], f["o_street"], f["o_number"], f["o_code"])]
-            dn = []
+            compared = [_compared_address(*t) for t in zip(f["street"], f["number"], f["code"], f["o_street"], f["o_number"], f["o_code"])]
+            addr = [c[0] for c in compared]
+            # slips and other layouts lower the Dice of the vectors more than that of the words
+            words = pd.Series([np.nan if c[1] is None else c[1] for c in compared], index=f.index, dtype="float64")
+            f = f.assign(d_address=pd.concat([f["d_address"].astype("float64"), words], axis=1).max(axis=1))
+            dn, spelled = [], []
             for a, b in zip(f["strings"], f["o_strings"]):
-                d = [k for x in a for y in b if (k := distance(x, y, tolerance(min(len(x), len(y))))) <= tolerance(min(len(x), len(y)))]
-                dn.append(min(d) if d else None)
+                d = [(k, min(len(x), len(y)) - k) for x in a for y in b if (k := distance(x, y, tolerance(min(len(x), len(y))))) <= tolerance(min(len(x), len(y)))]
+                dn.append(min(d)[0] if d else None)
+                # letters that a spelling explains, of the longer whole name
+                spelled.append(max(n for _, n in d) / max(len(a[0]), len(b[0])) if d else np.nan)
+            f = f.assign(d_name=pd.concat([f["d_name"].astype("float64"), pd.Series(spelled, index=f.index, dtype="float64")], axis=1).max(axis=1))
             near = [any(_near_host(x, y) for x in a for y in b) for a, b in zip(f["hosts"], f["o_hosts"])]
-            yield pd.DataFrame({"id": f["id"], "ent": f["ent"], "dn": pd.array(dn, dtype="Int32"), "a": addr, "near": near, "d_name": f["d_name"], "d_site": f["d_site"]})
-
-    site = F.when((F.size("v_sites") > 0) & (F.size("o_v_sites") > 0), F.arrays_overlap("v_sites", "o_v_sites").cast("double"))
-    wide = wide.select("id", "ent", "strings", "o_strings", "hosts", "o_hosts", "street", "number", "code", "o_street", "o_number", "o_code", dice(F.col("v_name"), F.col("o_v_name")).alias("d_name"), site.alias("d_site"))
-    rows = wide.mapInPandas(run, "id bigint, ent bigint, dn int, a int, near boolean, d_name double, d_site double")
-    per = rows.groupBy("id", "ent").agg(F.min("dn").alias("dn"), F.max("a").alias("best_a"), F.min("a").alias("worst_a"), F.max("near").alias("near"), F.max("d_name").alias("d_name"), F.max("d_site").alias("d_site"))
+            dices = {c: f[c].astype("Float64") for c in DICE_FIELDS}
+            yield pd.DataFrame({"id": f["id"], "ent": f["ent"], "dn": pd.array(dn, dtype="Int32"), "a": addr, "near": near, **dices})
+
+    best_site = F.array_max(F.flatten(F.transform("v_sites", lambda a: F.transform("o_v_sites", lambda b: dice(a, b)))))
+    address = F.greatest(dice(F.col("v_code"), F.col("o_v_code")), dice(F.col("v_place"), F.col("o_v_place")))
+    fields = [dice(F.col("v_name"), F.col("o_v_name")).alias("d_name"), best_site.alias("d_site"), address.alias("d_address")]
+    wide = wide.select("id", "ent", "strings", "o_strings", "hosts", "o_hosts", "street", "number", "code", "o_street", "o_number", "o_code", *fields)
+    rows = wide.mapInPandas(run, "id bigint, ent bigint, dn int, a int, near boolean, d_name double, d_site double, d_address double")
+    per = rows.groupBy("id", "ent").agg(F.min("dn").alias("dn"), F.max("a").alias("best_a"), F.min("a").alias("worst_a"), F.max("near").alias("near"), *[F.max(c).alias(c) for c in DICE_FIELDS])
     per = materialize(per, "fields")
     ev = evidence(per.select("id", "ent", "dn", F.lit(None).cast("int").alias("ds"), F.lit(False).alias("ab")), rp, entity_parts(op, ent))
-    ev = ev.drop("dn", "ds", "ab").join(per, ["id", "ent"])
-    address = F.when(F.col("best_a") == 1, 1).when(F.col("worst_a") == -1, -1).otherwise(0)
-    signs = [
-        F.when(F.col("dn").isNotNull() | (F.coalesce("d_name", F.lit(0.0)) >= 0.85), 1).otherwise(-1).alias("name"),
-        F.col("b").alias("business"),
-        F.col("c").alias("country"),
-        F.when(F.col("h") | F.col("near"), 1).when(F.col("hk"), -1).otherwise(0).alias("site"),
-        address.alias("address"),
-    ]
-    signed = materialize(ev.select("id", "ent", *signs), "signs")
-    # at most 3^5 patterns, however many pairs
-    counts = [(tuple(int(r[f]) for f in FIELDS), float(r["n"])) for r in signed.groupBy(*FIELDS).agg(F.count(F.lit(1)).alias("n")).collect()]
-    conf = calibrate(counts)
-    spark = org.sparkSession
-    table = spark.createDataFrame([(*p, c) for p, c in conf.items()], ", ".join(f"{f} int" for f in FIELDS) + ", confidence double")
-    name, business, country, at, address = (F.col(f) for f in FIELDS)
+    ev = ev.select("id", "ent", F.col("b").alias("business"), F.col("c").alias("country"), "h", "hk").join(per, ["id", "ent"])
+    scored = materialize(ev.select("*", *[level(F.col(f)).alias(f"l_{f}") for f in DICE_FIELDS]), "scored")
+    # at most 7^3 x 3^2 patterns, however many pairs
+    grouped = scored.groupBy(*[f"l_{f}" for f in DICE_FIELDS], *SIGN_FIELDS).agg(F.count(F.lit(1)).alias("n"), *[F.sum(f).alias(f"s_{f}") for f in DICE_FIELDS])
+    model = calibrate([r.asDict() for r in grouped.orderBy(*[f"l_{f}" for f in DICE_FIELDS], *SIGN_FIELDS).collect()])
+    return scored.withColumn("confidence", model.column()), ent, model
+
+
+def match_companies(org: DataFrame, register: DataFrame, least: float = 0.2) -> DataFrame:
+    """``(org_id, entry_id, confidence)`` of every organisation row and register entry that are the same company.
+
+    A pair is accepted by its confidence (``least``: below it a match is clearly ruled out).  The check that follows needs its name and one further field,
+    or site and address together (a company registered under another name); a related name with another line of
+    business in another country is a namesake, another name at the same address a neighbour, another name on the
+    same site a dealer.  Missing fields speak neither way; rows without name, site and address match nothing;
+    repeated rows match alike.
+    """
+    scored, ent, _ = scored_candidates(org, register)
+    return _accepted(scored, ent, least)
+
+
+def _accepted(scored: DataFrame, ent: DataFrame, least: float) -> DataFrame:
+    name = F.col("dn").isNotNull() | (F.coalesce("d_name", F.lit(0.0)) >= 0.85)
+    site, address = F.col("h") | F.col("near"), F.col("best_a") == 1
+    business, country = F.col("business"), F.col("country")
     clash = (country == -1) | ((business == -1) & (country <= 0))
-    support = (business == 1).cast("int") + (country == 1).cast("int") + (at == 1).cast("int") + (address == 1).cast("int")
-    sound = ((name == 1) & ~clash & (support >= 1)) | ((at == 1) & (address == 1)) | ((name == 1) & (at == 1))
-    kept = signed.join(F.broadcast(table), list(FIELDS)).where(sound)
-    return kept.join(ent.select(F.col("id").alias("org_id"), "ent"), "ent").select("org_id", F.col("id").alias("entry_id"), "confidence").distinct()
+    support = (business == 1) | (country == 1) | site | address
+    sound = (name & ~clash & support) | (site & address) | (name & site)
+    kept = scored.where(sound & (F.col("confidence") >= least)).select("id", "ent", "confidence")
+    return kept.join(ent.select(F.col("id").alias("org_id"), "ent"), "ent").groupBy("org_id", F.col("id").alias("entry_id")).agg(F.max("confidence").alias("confidence"))

@@ -265,6 +265,45 @@ def test_companies_by_mistyped_fields(spark):
     assert got == want | {(900, 900)}
 
 
+def test_confidence_is_reliable(spark):
+    """Confidences against the truth of a noisy table that the model was not made for."""
+    rng = random.Random(33)
+    word = lambda n=4: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(n))
+    trades, lands = ["Krantechnik", "Landtechnik", "Hydraulik", "Robotics"], ["DE", "AT", "CH", "IT"]
+
+    def slip(w):
+        i = rng.randrange(1, len(w) - 1)
+        return rng.choice([w, w, w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :]])
+
+    o, e, truth = [], [], set()
+    for i in range(400):
+        core, trade, land, host = word(5), rng.choice(trades), rng.choice(lands), word(5)
+        street, number, code, town = word(4) + "weg", rng.randrange(1, 90), str(rng.randrange(10000, 99999)), word(4)
+        o.append((i, f"{core} {trade} GmbH", None, None, None, land if rng.random() < 0.9 else None, f"{host}.test" if rng.random() < 0.7 else None, f"{street} {number}, {code} {town}" if rng.random() < 0.8 else None))
+        some = lambda v, share: v if rng.random() < share else None
+        if i % 2 == 0:
+            name = f"{slip(core)} {trade}" if rng.random() < 0.9 else f"{word(5)} Verwaltung GmbH"
+            e.append((i, name, some(f"{slip(street)} {number}", 0.8), code, slip(town), some(land, 0.9), some(f"www.{host}.test", 0.7)))
+            truth.add((i, i))
+        elif i % 4 == 1:  # a namesake
+            e.append((i, f"{core} {rng.choice([t for t in trades if t != trade])}", f"{word(4)}weg {number}", "1234", word(4), rng.choice([x for x in lands if x != land]), None))
+        else:  # a neighbour
+            e.append((i, f"{word(5)} {rng.choice(trades)}", f"{street} {number}", code, town, land, some(f"{word(5)}.test", 0.5)))
+    scored, ent, model = linkage.scored_candidates(orgs(spark, o), entries(spark, e))
+    rows = scored.select("id", "ent", "confidence").collect()
+    bins = {}
+    for r in rows:
+        b = bins.setdefault(min(int(r.confidence * 5), 4), [0, 0.0, 0])
+        b[0], b[1], b[2] = b[0] + 1, b[1] + r.confidence, b[2] + ((r.ent, r.id) in truth)
+    table = {k: (n, round(c / n, 2), round(t / n, 2)) for k, (n, c, t) in sorted(bins.items())}
+    print("confidence bins (pairs, mean confidence, share of matches)", table)
+    assert table[4][2] >= 0.9 and table[0][2] <= 0.1
+    assert sum(abs(c - t) * n for n, c, t in table.values()) / len(rows) < 0.1
+    assert all(w >= 0 for ws in model.steps.values() for w in ws)
+    got = {(r.org_id, r.entry_id) for r in linkage.match_companies(orgs(spark, o), entries(spark, e)).collect()}
+    assert len(got & truth) >= 0.9 * len(truth) and len(got & truth) >= 0.98 * len(got)
+
+
 def test_companies_of_nothing(spark):
     assert linkage.match_companies(orgs(spark, ORGS[:0]), entries(spark, ENTRIES)).count() == 0
     assert linkage.match_companies(orgs(spark, ORGS), entries(spark, ENTRIES[:0])).count() == 0
