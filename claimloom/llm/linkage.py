@@ -104,21 +104,21 @@ def stripe_keys(v: Column, bands: int, match: int) -> Column:
 def close_vectors(left: DataFrame, right: DataFrame, radius: int, bands: int, match: int, block: str | None = None) -> DataFrame:
     """``(a, b)``: all pairs of different vectors ``left(a)`` and ``right(b)`` within ``radius`` bits, exactly.
 
-    With ``block``, a column of both tables, only pairs that share a value of it.  Sparse vectors share stripes
-    without any bit; a block splits the keys that come of it.
+    With ``block``, a column of both tables and of the result, only pairs that share a value of it.  Sparse vectors
+    share stripes without any bit; a block splits the keys that come of it.
     """
     if bands - match < radius:
         raise ValueError("the search is exact up to bands - match bits only")
-    on = ["key"] if block is None else ["key", block]
+    also = [] if block is None else [block]
 
     def key(t: DataFrame, c: str) -> DataFrame:
         # a small table is read in one task, but the keys are many
         t = t.repartition(t.sparkSession.sparkContext.defaultParallelism)
-        return t.select(c, *on[1:], F.explode(stripe_keys(F.col(c), bands, match)).alias("key"))
+        return t.select(c, *also, F.explode(stripe_keys(F.col(c), bands, match)).alias("key"))
 
     # the keys are many times the vectors that the planner sees: never broadcast them
-    near = key(left, "a").hint("merge").join(key(right, "b"), on).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-    return near.select("a", "b").distinct()
+    near = key(left, "a").hint("merge").join(key(right, "b"), ["key", *also]).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
+    return near.select("a", "b", *also).distinct()
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, ent: DataFrame, op: DataFrame, rp: DataFrame) -> DataFrame:
@@ -126,7 +126,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, ent: DataFrame, op: DataF
 
     ``op`` and ``rp`` are their parts: all pairs whose whole cores (from two letters on) or sites are within the
     accepted edits are among them, and all pairs of names within 4 bits that share a country or a business word
-    (a name alone makes no match).  A single common word of longer cores makes no candidate: at 30000 rows that
+    (a name alone makes no match), and all pairs of addresses with one house number whose vectors are within 4 or 6
+    bits.  A single common word of longer cores makes no candidate: at 30000 rows that
     added 286 pairs, and the 14 that were read shared a business word only.
     """
     out = None
@@ -140,14 +141,14 @@ def candidate_pairs(left: DataFrame, right: DataFrame, ent: DataFrame, op: DataF
     business = F.flatten(F.transform("business", lambda w: F.split(w, r"\|")))
     blocks = lambda p: p.select("id", F.explode(F.array_distinct(F.concat(business, F.coalesce(F.array(F.concat(F.lit("="), "country")), F.array())))).alias("block"))
     for col, radius, bands, match in (("v_name", 4, 7, 3), ("v_code", 4, 8, 4), ("v_place", 6, 9, 3)):
-        take = lambda t, n, c=col: t.select("id", F.col(c).alias(n)).where(f"{n} is not null")
-        a = materialize(take(right, "a").distinct(), "vec")
-        b = materialize(take(left, "b").join(ent, "id").select("ent", "b").distinct(), "vec")
+        take = lambda t, n, c=col: t.select("id", F.col(c).alias(n), F.col("number").alias("block")).where(f"{n} is not null")
+        a, b = take(right, "a"), take(left, "b")
         if col == "v_name":
-            near = close_vectors(take(right, "a").join(blocks(rp), "id").select("a", "block").distinct(), take(left, "b").join(blocks(op), "id").select("b", "block").distinct(), radius, bands, match, "block")
-        else:
-            near = close_vectors(a.select("a").distinct(), b.select("b").distinct(), radius, bands, match)
-        pairs = a.join(near, "a").select("id", "b").join(b, "b").select("id", "ent")
+            a, b = a.drop("block").join(blocks(rp), "id"), b.drop("block").join(blocks(op), "id")
+        a = materialize(a.distinct(), "vec")
+        b = materialize(b.join(ent, "id").select("ent", "b", "block").distinct(), "vec")
+        near = close_vectors(a.select("a", "block").distinct(), b.select("b", "block").distinct(), radius, bands, match, "block")
+        pairs = a.join(near, ["a", "block"]).select("id", "b", "block").join(b, ["b", "block"]).select("id", "ent")
         out = out.union(pairs)
     return out.distinct()
 
@@ -161,6 +162,8 @@ def dice(a: Column, b: Column) -> Column:
 DICE_FIELDS, SIGN_FIELDS = ("d_name", "d_site", "d_address"), ("business", "country")
 #: Lower bounds of the levels at which Dice coefficients are counted; level 0 is a missing field.
 LEVELS = (0.0, 0.4, 0.6, 0.75, 0.85, 0.95)
+#: The level from which on a field agrees.
+AGREES = 5
 
 
 def level(d: Column) -> Column:
@@ -175,11 +178,13 @@ class Confidence:
     A Dice field has the weight of every level that its Dice reaches and, within a level, the share of the way to
     the next one of that one's weight, so the score rises steadily with the Dice.  A missing field and one that does
     not agree at all add nothing: a company may be registered under another name.  A sign field's value is its sign.
+    Site and address that both agree have a weight of their own.
     """
 
     intercept: float
     steps: dict[str, list[float]]
     signs: dict[str, float]
+    both: float = 0.0
 
     def column(self) -> Column:
         x = F.lit(self.intercept)
@@ -191,6 +196,7 @@ class Confidence:
                 x = x + F.coalesce(F.when(F.col(f) >= low, w * (0.5 + 0.5 * way)), F.lit(0.0))
         for f in SIGN_FIELDS:
             x = x + self.signs[f] * F.col(f)
+        x = x + F.when((F.col("l_d_site") >= AGREES) & (F.col("l_d_address") >= AGREES), self.both).otherwise(0.0)
         return 1 / (1 + F.exp(-x))
 
 
@@ -199,6 +205,7 @@ PRIOR = Confidence(
     -6.5,
     {"d_name": [0.0, 3.0, 1.5, 1.0, 0.5], "d_site": [0.0, 0.5, 1.0, 1.5, 1.5], "d_address": [0.0, 0.0, 0.5, 1.5, 2.5]},
     {"business": 2.0, "country": 1.5},
+    1.0,
 )
 
 
@@ -243,7 +250,8 @@ def calibrate(counts: list[dict], rounds: int = 200) -> Confidence:
             # ten pseudo cases of the first belief keep every share away from 0 and carry very small tables
             m, u = (c + 10 * b / b.sum() for c, b in ((m, start[f] + 0.02), (u, 1.02 - start[f])))
             m, u = m / m.sum(), u / u.sum()
-            score += np.where(known, np.log(m / u)[at[f]], 0.0)
+            # no field by itself rules a match out
+            score += np.where(known, np.maximum(np.log(m / u), -1.5)[at[f]], 0.0)
         g = np.where(out, 0.0, 1 / (1 + np.exp(-np.clip(score, -30, 30))))
     ends = (*LEVELS[1:], 1.0)
     cols = []
@@ -253,8 +261,9 @@ def calibrate(counts: list[dict], rounds: int = 200) -> Confidence:
             way = np.clip((mean - low) / (high - low), 0.0, 1.0)
             cols.append(np.where((at[f] != none[f]) & (mean >= low), 0.5 + 0.5 * way, 0.0))
     cols += [np.array([r[f] for r in counts], dtype=float) for f in SIGN_FIELDS]
+    cols.append(np.where((at["d_site"] >= AGREES) & (at["d_address"] >= AGREES), 1.0, 0.0))
     x = np.column_stack([np.ones(len(n)), *cols])
-    first = np.array([PRIOR.intercept, *(w for f in DICE_FIELDS for w in PRIOR.steps[f]), *(PRIOR.signs[f] for f in SIGN_FIELDS)])
+    first = np.array([PRIOR.intercept, *(w for f in DICE_FIELDS for w in PRIOR.steps[f]), *(PRIOR.signs[f] for f in SIGN_FIELDS), PRIOR.both])
     w = first.copy()
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -271,7 +280,8 @@ def calibrate(counts: list[dict], rounds: int = 200) -> Confidence:
             break
     k = len(LEVELS) - 1
     steps = {f: w[1 + i * k : 1 + (i + 1) * k].tolist() for i, f in enumerate(DICE_FIELDS)}
-    return Confidence(float(w[0]), steps, dict(zip(SIGN_FIELDS, w[1 + k * len(DICE_FIELDS) :].tolist())))
+    rest = w[1 + k * len(DICE_FIELDS) :].tolist()
+    return Confidence(float(w[0]), steps, dict(zip(SIGN_FIELDS, rest)), rest[-1])
 
 
 def _near_host(a: str, b: str) -> bool:
@@ -347,10 +357,10 @@ def scored_candidates(org: DataFrame, register: DataFrame) -> tuple[DataFrame, D
     return scored.withColumn("confidence", model.column()), ent, model
 
 
-def match_companies(org: DataFrame, register: DataFrame, least: float = 0.2) -> DataFrame:
+def match_companies(org: DataFrame, register: DataFrame, least: float = 0.5) -> DataFrame:
     """``(org_id, entry_id, confidence)`` of every organisation row and register entry that are the same company.
 
-    A pair is accepted by its confidence (``least``: below it a match is clearly ruled out).  The check that follows needs its name and one further field,
+    A pair is accepted by its confidence (``least``).  The check that follows needs its name and one further field,
     or site and address together (a company registered under another name); a related name with another line of
     business in another country is a namesake, another name at the same address a neighbour, another name on the
     same site a dealer.  Missing fields speak neither way; rows without name, site and address match nothing;

@@ -28,12 +28,13 @@ def spellings_merged(pairs: DataFrame, group: str, word: str) -> DataFrame:
     """
     w = F.col(word)
     one_less = F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
-    keyed = pairs.distinct().where(F.length(w) > 0).select(group, word, F.col(word).alias("_l"), F.explode(F.when(F.length(w) <= 40, F.array_append(F.array_distinct(one_less), w)).otherwise(F.array(w))).alias("_k"))
+    keyed = materialize(pairs.distinct().where(F.length(w) > 0).select(group, word, F.col(word).alias("_l"), F.explode(F.when(F.length(w) <= 40, F.array_append(F.array_distinct(one_less), w)).otherwise(F.array(w))).alias("_k")), "spelled")
+    label = None
     for _ in range(2):
-        least = keyed.groupBy(group, "_k").agg(F.min("_l").alias("_m"))
-        label = keyed.join(least, [group, "_k"]).groupBy(group, word).agg(F.min("_m").alias("_l"))
-        keyed = keyed.drop("_l").join(label, [group, word])
-    return keyed.groupBy(group).agg(F.count_distinct("_l").alias("n"), F.count_distinct(word).alias("k"))
+        of_key = keyed if label is None else keyed.drop("_l").join(label, [group, word])
+        least = of_key.groupBy(group, "_k").agg(F.min("_l").alias("_m"))
+        label = materialize(keyed.join(least, [group, "_k"]).groupBy(group, word).agg(F.min("_m").alias("_l")), "label")
+    return label.groupBy(group).agg(F.count_distinct("_l").alias("n"), F.count(F.lit(1)).alias("k"))
 
 
 def common_words(names: DataFrame, column: str, share: float = 0.003, least: int = 8, ratio: float = 0.1) -> set[str]:
@@ -46,7 +47,7 @@ def common_words(names: DataFrame, column: str, share: float = 0.003, least: int
     size = F.size("w")
     shifted = F.transform(F.array(*[F.lit(i) for i in (1, 2, 3)]), lambda i: F.arrays_zip(F.slice("w", F.lit(1), F.greatest(size - i, F.lit(0))).alias("t"), F.slice("w", i + 1, size).alias("u")))
     near = w.select(F.explode(F.flatten(shifted)).alias("x")).select("x.t", "x.u")
-    near = near.union(near.select("u", "t")).where("length(t) >= 4 and length(u) >= 4").distinct()
+    near = materialize(near.union(near.select("u", "t")).where("length(t) >= 4 and length(u) >= 4").distinct(), "near")
     n = w.select(F.explode("w").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("sets"))
     floor = max(least, share * w.count())
     often = near.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= floor).join(n, "t").where(F.col("c") >= ratio * F.col("sets"))
