@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -92,33 +92,52 @@ def encoded(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "id bigint, v_name bigint, v_code bigint, v_place bigint, v_sites array<bigint>, street string, number string, code string")
 
 
-def stripe_keys(v: Column, bands: int, match: int) -> Column:
-    """Array of bigint: one key for every choice of ``match`` of ``bands`` stripes of a 64-bit vector."""
-    edges = [64 * i // bands for i in range(bands + 1)]
-    stripes = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
-    masks = [_signed(sum(stripes[i] for i in c)) for c in combinations(range(bands), match)]
-    # one small expression over a constant array: a list of hashes would be a huge generated method
-    return F.transform(F.lit(masks).cast("array<bigint>"), lambda m: F.xxhash64(v.bitwiseAND(m), m))
+@dataclass(frozen=True)
+class Channel:
+    """A kind of vectors and how they are searched: exactly, for all pairs of one block within ``radius`` bits."""
 
+    column: str
+    radius: int
+    bands: int
+    match: int
 
-def close_vectors(left: DataFrame, right: DataFrame, radius: int, bands: int, match: int, block: str | None = None) -> DataFrame:
-    """``(a, b)``: all pairs of different vectors ``left(a)`` and ``right(b)`` within ``radius`` bits, exactly.
+    def __post_init__(self):
+        if self.bands - self.match < self.radius:
+            raise ValueError("the search is exact up to bands - match bits only")
 
-    With ``block``, a column of both tables and of the result, only pairs that share a value of it.  Sparse vectors
-    share stripes without any bit; a block splits the keys that come of it.
+    def keys(self, v: Column) -> Column:
+        """Array of bigint: one key for every choice of ``match`` of ``bands`` stripes of a 64-bit vector."""
+        edges = [64 * i // self.bands for i in range(self.bands + 1)]
+        stripes = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
+        masks = [_signed(sum(stripes[i] for i in c)) for c in combinations(range(self.bands), self.match)]
+        # one small expression over a constant array: a list of hashes would be a huge generated method
+        return F.transform(F.lit(masks).cast("array<bigint>"), lambda m: F.xxhash64(v.bitwiseAND(m), m))
+
+
+CHANNELS = (Channel("v_name", 4, 7, 3), Channel("v_code", 4, 8, 4), Channel("v_place", 6, 9, 3))
+
+
+def close_vectors(left: DataFrame, right: DataFrame, channels: Sequence[Channel]) -> DataFrame:
+    """``(channel, block, a, b)``: all pairs of different vectors ``left(channel, block, a)`` and ``right(..., b)`` of
+    one channel (its number) and block within the channel's radius, exactly.
+
+    Sparse vectors share stripes without any bit; the blocks split the keys that come of it.
     """
-    if bands - match < radius:
-        raise ValueError("the search is exact up to bands - match bits only")
-    also = [] if block is None else [block]
 
-    def key(t: DataFrame, c: str) -> DataFrame:
+    def pick(values: Callable[[Channel], Column]) -> Column:
+        out = F.lit(None)
+        for i, c in enumerate(channels):
+            out = F.when(F.col("channel") == i, values(c)).otherwise(out)
+        return out
+
+    def keyed(t: DataFrame, v: str) -> DataFrame:
         # a small table is read in one task, but the keys are many
         t = t.repartition(t.sparkSession.sparkContext.defaultParallelism)
-        return t.select(c, *also, F.explode(stripe_keys(F.col(c), bands, match)).alias("key"))
+        return t.select("channel", "block", v, F.explode(pick(lambda c: c.keys(F.col(v)))).alias("key"))
 
     # the keys are many times the vectors that the planner sees: never broadcast them
-    near = key(left, "a").hint("merge").join(key(right, "b"), ["key", *also]).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-    return near.select("a", "b", *also).distinct()
+    near = keyed(left, "a").hint("merge").join(keyed(right, "b"), ["channel", "block", "key"])
+    return near.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= pick(lambda c: F.lit(c.radius))).select("channel", "block", "a", "b").distinct()
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, ent: DataFrame, op: DataFrame, rp: DataFrame) -> DataFrame:
@@ -127,30 +146,30 @@ def candidate_pairs(left: DataFrame, right: DataFrame, ent: DataFrame, op: DataF
     ``op`` and ``rp`` are their parts: all pairs whose whole cores (from two letters on) or sites are within the
     accepted edits are among them, and all pairs of names within 4 bits that share a country or a business word
     (a name alone makes no match), and all pairs of addresses with one house number whose vectors are within 4 or 6
-    bits.  A single common word of longer cores makes no candidate: at 30000 rows that
-    added 286 pairs, and the 14 that were read shared a business word only.
+    bits.  A single common word of longer cores makes no candidate: at 30000 rows that added 286 pairs, and the 14
+    that were read shared a business word only.
     """
-    out = None
-    for spelled in (F.array("core"), F.col("stems")):
-        take = lambda t, n, c=spelled: t.select("id", F.explode(c).alias(n)).where(F.length(n) >= 2)
-        a = materialize(take(rp, "a").distinct(), "spelled")
-        b = materialize(take(op, "b").join(ent, "id").select("ent", "b").distinct(), "spelled")
-        near = similar_strings(a.select("a").distinct(), b.select("b").distinct())
-        pairs = a.join(near, "a").select("id", "b").join(b, "b").select("id", "ent")
-        out = pairs if out is None else out.union(pairs)
-    business = F.flatten(F.transform("business", lambda w: F.split(w, r"\|")))
-    blocks = lambda p: p.select("id", F.explode(F.array_distinct(F.concat(business, F.coalesce(F.array(F.concat(F.lit("="), "country")), F.array())))).alias("block"))
-    for col, radius, bands, match in (("v_name", 4, 7, 3), ("v_code", 4, 8, 4), ("v_place", 6, 9, 3)):
-        take = lambda t, n, c=col: t.select("id", F.col(c).alias(n), F.col("number").alias("block")).where(f"{n} is not null")
-        a, b = take(right, "a"), take(left, "b")
-        if col == "v_name":
-            a, b = a.drop("block").join(blocks(rp), "id"), b.drop("block").join(blocks(op), "id")
-        a = materialize(a.distinct(), "vec")
-        b = materialize(b.join(ent, "id").select("ent", "b", "block").distinct(), "vec")
-        near = close_vectors(a.select("a", "block").distinct(), b.select("b", "block").distinct(), radius, bands, match, "block")
-        pairs = a.join(near, ["a", "block"]).select("id", "b", "block").join(b, ["b", "block"]).select("id", "ent")
-        out = out.union(pairs)
-    return out.distinct()
+    kinds = F.explode(F.concat(F.array(F.struct(F.lit("name").alias("kind"), F.col("core").alias("s"))), F.transform("stems", lambda s: F.struct(F.lit("site").alias("kind"), s.alias("s")))))
+    spelled = lambda p: p.select("id", kinds.alias("x")).select("id", "x.kind", "x.s").where("length(s) >= 2")
+    a = materialize(spelled(rp).select("id", "kind", F.col("s").alias("a")).distinct(), "spelled")
+    b = materialize(spelled(op).join(ent, "id").select("ent", "kind", F.col("s").alias("b")).distinct(), "spelled")
+    near = similar_strings(a.select("a").distinct(), b.select("b").distinct())
+    by_spelling = a.join(near, "a").select("id", "kind", "b").join(b, ["kind", "b"]).select("id", "ent")
+
+    def vectors(encoded_rows: DataFrame, p: DataFrame, v: str) -> DataFrame:
+        business = F.flatten(F.transform("business", lambda w: F.split(w, r"\|")))
+        lands = F.coalesce(F.array(F.concat(F.lit("="), "country")), F.array())
+        names = p.select("id", F.array_distinct(F.concat(business, lands)).alias("blocks"))
+        each = [F.transform("blocks", lambda k: F.struct(F.lit(0).alias("channel"), k.alias("block"), F.col("v_name").alias("v")))]
+        each += [F.array(F.struct(F.lit(i).alias("channel"), F.col("number").alias("block"), F.col(c.column).alias("v"))) for i, c in enumerate(CHANNELS) if i]
+        return encoded_rows.join(names, "id").select("id", F.explode(F.concat(*each)).alias("x")).where("x.v is not null").select("id", "x.channel", "x.block", F.col("x.v").alias(v))
+
+    a = materialize(vectors(right, rp, "a").distinct(), "vec")
+    b = materialize(vectors(left, op, "b").join(ent, "id").select("ent", "channel", "block", "b").distinct(), "vec")
+    on = ["channel", "block"]
+    near = close_vectors(a.select(*on, "a").distinct(), b.select(*on, "b").distinct(), CHANNELS)
+    by_vector = a.join(near, [*on, "a"]).select("id", *on, "b").join(b, [*on, "b"]).select("id", "ent")
+    return by_spelling.union(by_vector).distinct()
 
 
 def dice(a: Column, b: Column) -> Column:
@@ -284,10 +303,12 @@ def calibrate(counts: list[dict], rounds: int = 200) -> Confidence:
     return Confidence(float(w[0]), steps, dict(zip(SIGN_FIELDS, rest)), rest[-1])
 
 
-def _near_host(a: str, b: str) -> bool:
-    """Whether two hosts are one but for slips, as many as a word of their second part's length may have."""
-    most = tolerance(min(len(x.split(".")[-2]) for x in (a, b)))
-    return distance(a, b, most) <= most
+def _near_host(a: str, b: str) -> float:
+    """Share of the letters that two hosts have in common if they are one but for slips, as many as a word of their
+    second part's length may have; else 0."""
+    n = min(len(x.split(".")[-2]) for x in (a, b))
+    d = distance(a, b, tolerance(n))
+    return 1 - d / n if d <= tolerance(n) else 0.0
 
 
 def _compared_address(s1: str, n1: str, c1: str, s2: str, n2: str, c2: str) -> tuple[int, float | None]:
@@ -337,9 +358,10 @@ def scored_candidates(org: DataFrame, register: DataFrame) -> tuple[DataFrame, D
                 # letters that a spelling explains, of the longer whole name
                 spelled.append(max(n for _, n in d) / max(len(a[0]), len(b[0])) if d else np.nan)
             f = f.assign(d_name=pd.concat([f["d_name"].astype("float64"), pd.Series(spelled, index=f.index, dtype="float64")], axis=1).max(axis=1))
-            near = [any(_near_host(x, y) for x in a for y in b) for a, b in zip(f["hosts"], f["o_hosts"])]
+            near = pd.Series([max((_near_host(x, y) for x in a for y in b), default=0.0) for a, b in zip(f["hosts"], f["o_hosts"])], index=f.index, dtype="float64")
+            f = f.assign(d_site=pd.concat([f["d_site"].astype("float64"), near.where(near > 0)], axis=1).max(axis=1))
             dices = {c: f[c].astype("Float64") for c in DICE_FIELDS}
-            yield pd.DataFrame({"id": f["id"], "ent": f["ent"], "dn": pd.array(dn, dtype="Int32"), "a": addr, "near": near, **dices})
+            yield pd.DataFrame({"id": f["id"], "ent": f["ent"], "dn": pd.array(dn, dtype="Int32"), "a": addr, "near": near > 0, **dices})
 
     best_site = F.array_max(F.flatten(F.transform("v_sites", lambda a: F.transform("o_v_sites", lambda b: dice(a, b)))))
     address = F.greatest(dice(F.col("v_code"), F.col("o_v_code")), dice(F.col("v_place"), F.col("o_v_place")))

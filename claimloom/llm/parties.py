@@ -20,21 +20,19 @@ PARTS = "id bigint, core string, strings array<string>, business array<string>,
 
 
 def spellings_merged(pairs: DataFrame, group: str, word: str) -> DataFrame:
-    """``(group, n, k)``: how many words of ``pairs(group, word)`` stand in each group, slips of one word counted as
-    one (``n``), and how many as they are spelled (``k``).
+    """``(group, n, k)``: how many words of ``pairs(group, word, c)`` stand in each group, slips of one word counted as
+    one (``n``), and how many as they are spelled (``k``); ``c`` is how often a word occurs.
 
-    Words of up to 40 letters that share a key after one deletion take the least word under it, twice over, so the
-    slips of a word end at one spelling.  Built-in expressions and two aggregations a step, however large a group is.
+    Words of up to 40 letters take the most frequent word with which they share a key after one deletion, so the
+    slips of a word end at its usual spelling.  Built-in expressions and aggregations, however large a group is.
     """
     w = F.col(word)
     one_less = F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
-    keyed = materialize(pairs.distinct().where(F.length(w) > 0).select(group, word, F.col(word).alias("_l"), F.explode(F.when(F.length(w) <= 40, F.array_append(F.array_distinct(one_less), w)).otherwise(F.array(w))).alias("_k")), "spelled")
-    label = None
-    for _ in range(2):
-        of_key = keyed if label is None else keyed.drop("_l").join(label, [group, word])
-        least = of_key.groupBy(group, "_k").agg(F.min("_l").alias("_m"))
-        label = materialize(keyed.join(least, [group, "_k"]).groupBy(group, word).agg(F.min("_m").alias("_l")), "label")
-    return label.groupBy(group).agg(F.count_distinct("_l").alias("n"), F.count(F.lit(1)).alias("k"))
+    keys = F.when(F.length(w) <= 40, F.array_append(F.array_distinct(one_less), w)).otherwise(F.array(w))
+    keyed = pairs.where(F.length(w) > 0).select(group, word, "c", F.explode(keys).alias("_k"))
+    usual = keyed.groupBy(group, "_k").agg(F.min(F.struct((-F.col("c")).alias("c"), w.alias("w"))).alias("_m"))
+    label = keyed.join(usual, [group, "_k"]).groupBy(group, word).agg(F.min("_m").alias("_l"))
+    return label.groupBy(group).agg(F.count_distinct("_l.w").alias("n"), F.count(F.lit(1)).alias("k"))
 
 
 def common_words(names: DataFrame, column: str, share: float = 0.003, least: int = 8, ratio: float = 0.1) -> set[str]:
@@ -47,13 +45,13 @@ def common_words(names: DataFrame, column: str, share: float = 0.003, least: int
     size = F.size("w")
     shifted = F.transform(F.array(*[F.lit(i) for i in (1, 2, 3)]), lambda i: F.arrays_zip(F.slice("w", F.lit(1), F.greatest(size - i, F.lit(0))).alias("t"), F.slice("w", i + 1, size).alias("u")))
     near = w.select(F.explode(F.flatten(shifted)).alias("x")).select("x.t", "x.u")
-    near = materialize(near.union(near.select("u", "t")).where("length(t) >= 4 and length(u) >= 4").distinct(), "near")
+    near = near.union(near.select("u", "t")).where("length(t) >= 4 and length(u) >= 4")
+    near = materialize(near.groupBy("t", "u").agg(F.count(F.lit(1)).alias("c")), "near")
     n = w.select(F.explode("w").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("sets"))
     floor = max(least, share * w.count())
-    often = near.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= floor).join(n, "t").where(F.col("c") >= ratio * F.col("sets"))
-    often = materialize(often, "often")
-    merged = spellings_merged(near.join(often.select("t"), "t", "left_semi"), "t", "u").join(often, "t")
-    return {r["t"] for r in merged.where((F.col("n") >= floor) & (F.col("n") >= ratio * F.col("sets"))).select("t").collect()}
+    enough = lambda k: (F.col(k) >= floor) & (F.col(k) >= ratio * F.col("sets"))
+    often = near.groupBy("t").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= floor).join(n, "t").where(enough("m"))
+    return {r["t"] for r in spellings_merged(near.join(often.select("t", "sets"), "t").drop("sets"), "t", "u").join(n, "t").where(enough("n")).select("t").collect()}
 
 
 def parts(rows: DataFrame, common: set[str], names: list[str], country: str, hosts: list[str], id_col: str) -> DataFrame:
@@ -94,8 +92,8 @@ def shared_hosts(org_parts: DataFrame, least: int = 5, share: float = 0.2) -> Da
     Spellings of one name count as one; a site is shared if it lists at least ``least`` names that are at least
     ``share`` of the spellings on it, so a firm's own site stays its own however many rows give it.
     """
-    h = org_parts.where("core <> ''").select(F.explode("hosts").alias("host"), "core").distinct()
-    many = h.groupBy("host").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least).select("host")
+    h = org_parts.where("core <> ''").select(F.explode("hosts").alias("host"), "core").groupBy("host", "core").agg(F.count(F.lit(1)).alias("c"))
+    many = h.groupBy("host").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= least).select("host")
     merged = spellings_merged(h.join(many, "host", "left_semi"), "host", "core")
     return merged.where((F.col("n") >= least) & (F.col("n") >= share * F.col("k"))).select("host")
 

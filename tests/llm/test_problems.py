@@ -318,8 +318,9 @@ def test_hamming_search_is_exact(spark):
             v ^= 1 << rng.randrange(62)
         right.append(v)
     want = {(a, b) for a in left for b in right if (a ^ b).bit_count() <= 6}
-    got = linkage.close_vectors(spark.createDataFrame([(v,) for v in left], "a bigint"), spark.createDataFrame([(v,) for v in right], "b bigint"), 6, 9, 3)
-    assert {tuple(r) for r in got.collect()} == want
+    table = lambda vs, c: spark.createDataFrame([(0, f"{v % 2}", v) for v in vs], f"channel int, block string, {c} bigint")
+    got = linkage.close_vectors(table(left, "a"), table(right, "b"), [linkage.Channel("v", 6, 9, 3)])
+    assert {(r.a, r.b) for r in got.collect()} == {(a, b) for a, b in want if a % 2 == b % 2}
 
 
 def test_similar_strings_are_exact(spark):
