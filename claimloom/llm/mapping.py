@@ -73,7 +73,16 @@ def map_values(values: DataFrame, canon: DataFrame, threshold: float = 0.34, mar
     )
     vg = materialize(vg, "grams")
     vlen = vg.groupBy("field_name", "form").agg(F.sqrt(F.sum(F.col("wv") * F.col("wv"))).alias("vlen"))
-    dots = vg.join(eg, ["field_name", "gram"]).groupBy("field_name", "form", "canon_code", "entry").agg(F.sum(F.col("wv") * F.col("we")).alias("dot"))
+    # a value's candidates share one of its rarest n-grams: those whose rest is too light to reach the score, so
+    # n-grams that are common in a long list make no pairs and no pair above the threshold is lost
+    w = Window.partitionBy("field_name", "form").orderBy(F.desc("wv"), "gram")
+    square = F.col("wv") * F.col("wv")
+    rest = F.sum(square).over(Window.partitionBy("field_name", "form")) - F.coalesce(F.sum(square).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    least = max(threshold - margin, 0.0) ** 2 * 0.999999
+    rare = vg.withColumn("rest", rest).withColumn("whole", F.sum(square).over(Window.partitionBy("field_name", "form"))).where(F.col("rest") >= least * F.col("whole"))
+    pairs = rare.join(eg, ["field_name", "gram"]).select("field_name", "form", "canon_code", "entry").distinct()
+    full = vg.join(pairs, ["field_name", "form"]).join(eg, ["field_name", "canon_code", "entry", "gram"])
+    dots = full.groupBy("field_name", "form", "canon_code", "entry").agg(F.sum(F.col("wv") * F.col("we")).alias("dot"))
     scored = (
         dots.join(enorm, ["field_name", "canon_code", "entry"]).join(vlen, ["field_name", "form"])
         .groupBy("field_name", "form", "canon_code").agg(F.max(F.col("dot") / (F.col("elen") * F.col("vlen"))).alias("score"))
@@ -105,11 +114,11 @@ def _alias_rows(spark, field: str, aliases: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(rows, "field_name string, canon_code string, text string")
 
 
-def typed_verdicts_and_predicates(review: DataFrame, claim: DataFrame, verdikt_list: DataFrame, predicate_list: DataFrame, threshold: float = 0.34, margin: float = 0.02) -> DataFrame:
+def typed_verdicts_and_predicates(review: DataFrame, claim: DataFrame, verdikt_list: DataFrame, predicate_list: DataFrame, threshold: float = 0.34, margin: float = 0.02, aliases: bool = True) -> DataFrame:
     """``(field_name, row_id, canon_code)`` of the typed verdicts and predicates, UNMATCHED where none is meant.
 
     An entry's wordings are its own texts (of a hint also the parts between commas) and the common synonyms.
-    Synonyms for codes that the lists do not hold are left out.
+    Synonyms for codes that the lists do not hold are left out, all of them with ``aliases=False``.
     """
     spark = review.sparkSession
     v, p = F.lit("verdikt"), F.lit("predicate")
@@ -123,4 +132,4 @@ def typed_verdicts_and_predicates(review: DataFrame, claim: DataFrame, verdikt_l
     rows = review.select(v.alias("field_name"), F.col("review_id").alias("row_id"), F.col("verdikt").alias("value")).union(
         claim.select(p.alias("field_name"), F.col("id").alias("row_id"), F.col("predicate").alias("value"))
     )
-    return mapped_rows(rows, own.unionByName(extra).where("text is not null"), exact, threshold, margin)
+    return mapped_rows(rows, own.unionByName(extra).where("text is not null") if aliases else own.where("text is not null"), exact, threshold, margin)
