@@ -70,22 +70,27 @@ def _scored(rows: DataFrame, groups: DataFrame, claims: DataFrame, trust: DataFr
 _CRITERIA = ("n_filled", "confidence", "seen", "trust")
 
 
-def _greatest_rows(scored: DataFrame) -> DataFrame:
+def _greatest_rows(scored: DataFrame, latest: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The row of each group that is greatest in most criteria, among equals the one that holds the most of the
+    group's topologically latest values ``latest(first_id, field, value)``."""
+    held = _long(scored, fields).join(latest.select("first_id", "field", "value"), ["first_id", "field", "value"])
+    held = held.groupBy("id").agg(F.count(F.lit(1)).alias("n_latest"))
     best = scored.groupBy("first_id").agg(*[F.max(c).alias(f"_m_{c}") for c in _CRITERIA])
     met = sum(((F.col(c) == F.col(f"_m_{c}")).cast("int") for c in _CRITERIA), F.lit(0))
-    order = F.struct(met.alias("met"), *_CRITERIA, (-F.col("id")).alias("neg_id"))
-    return scored.join(best, "first_id").groupBy("first_id").agg(F.max_by("id", order).alias("survivor_id"))
+    order = F.struct(met.alias("met"), F.coalesce("n_latest", F.lit(0)).alias("n_latest"), *_CRITERIA, (-F.col("id")).alias("neg_id"))
+    return scored.join(held, "id", "left").join(best, "first_id").groupBy("first_id").agg(F.max_by("id", order).alias("survivor_id"))
 
 
 def survivors(rows: DataFrame, claims: DataFrame, trust: DataFrame, keys: Sequence[str] = ("lei", "vat"), fields: Sequence[str] = FIELDS) -> DataFrame:
     """``(first_id, survivor_id)``, one row a group: the row that no other row of the group beats in filled
     fields, confidence, last_verified (null is oldest) or highest trust of the claims about it.
 
-    Where no row is greatest in all four, the one greatest in most of them survives, then the one ahead in the
-    order named; full ties go to the smallest id.  Null confidence, time and trust rank lowest.
+    Where several or none are greatest in all four, those greatest in most of them are compared by currency: the one
+    survives that holds the most of the group's topologically latest values (``latest_values``), then the one ahead
+    in the order named; full ties go to the smallest id.  Null confidence, time and trust rank lowest.
     """
-    scored = _scored(rows, duplicate_groups(rows, keys), claims, trust, fields)
-    return _greatest_rows(materialize(scored, "scored"))
+    scored = materialize(_scored(rows, duplicate_groups(rows, keys), claims, trust, fields), "scored")
+    return _greatest_rows(scored, latest_values(scored, fields), fields)
 
 
 def _long(scored: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -192,35 +197,41 @@ def _latest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["first_id", "field", "value", "id"])
 
 
-def golden_records(rows: DataFrame, claims: DataFrame, trust: DataFrame, keys: Sequence[str] = ("lei", "vat"), fields: Sequence[str] = FIELDS) -> DataFrame:
-    """One built record a group: ``first_id, survivor_id``, each field's value and each field's source row.
-
-    A field takes the topologically latest of the group's values (``latest_value``), in the partial order of the
-    group's own times and the precedence learned from all groups; its source is the value's latest row, else the
-    one with the highest trust, confidence, then the smallest id.  A field that is empty in the whole group
-    stays null.  The values of a group are collected, different ones only.
-    """
-    scored = materialize(_scored(rows, duplicate_groups(rows, keys), claims, trust, fields), "scored")
+def latest_values(scored: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``(first_id, field, value, id)``: the topologically latest of each group's values of a field (``latest_value``),
+    in the partial order of the group's own times and the precedence learned from all groups, and the value's latest
+    row, else the one with the highest trust, confidence, then the smallest id.  The different values of a group are
+    collected."""
     cells = _long(scored, fields)
     best = F.max(F.struct(F.unix_micros("last_verified").alias("seen"), "trust", "confidence", (-F.col("id")).alias("n"))).alias("b")
     values = materialize(
         cells.groupBy("first_id", "field", "value").agg(best).select("first_id", "field", "value", "b.seen", "b.trust", "b.confidence", (-F.col("b.n")).alias("id")), "values"
     )
-    level = materialize(learn_precedence(cells), "precedence")
+    learned = materialize(learn_precedence(cells), "precedence")
     key = values.select("first_id", "field", "value")
-    within = key.join(level, ["field", "value"]).join(key.withColumnRenamed("value", "next"), ["first_id", "field", "next"])
+    within = key.join(learned, ["field", "value"]).join(key.withColumnRenamed("value", "next"), ["first_id", "field", "next"])
     relations = within.groupBy("first_id", "field").agg(F.collect_list(F.struct("value", "next", "n")).alias("relations"))
     nodes = values.groupBy("first_id", "field").agg(F.collect_list(F.struct("value", "seen", "trust", "confidence", "id")).alias("nodes"))
     alone = nodes.where("size(nodes) = 1").select("first_id", "field", F.col("nodes")[0]["value"].alias("value"), F.col("nodes")[0]["id"].alias("id"))
     several = nodes.where("size(nodes) > 1").join(relations, ["first_id", "field"], "left")
-    per = alone.union(several.mapInPandas(_latest, "first_id bigint, field string, value string, id bigint")).select("first_id", "field", F.struct("value", "id").alias("x"))
+    return materialize(alone.union(several.mapInPandas(_latest, "first_id bigint, field string, value string, id bigint")), "latest")
+
+
+def golden_records(rows: DataFrame, claims: DataFrame, trust: DataFrame, keys: Sequence[str] = ("lei", "vat"), fields: Sequence[str] = FIELDS) -> DataFrame:
+    """One built record a group: ``first_id, survivor_id``, each field's value and each field's source row.
+
+    A field takes the topologically latest of the group's values (``latest_values``).  A field that is empty in the
+    whole group stays null.
+    """
+    scored = materialize(_scored(rows, duplicate_groups(rows, keys), claims, trust, fields), "scored")
+    latest = latest_values(scored, fields)
 
     def of(f: str) -> Column:
-        return F.max(F.when(F.col("field") == f, F.col("x")))
+        return F.max(F.when(F.col("field") == f, F.struct("value", "id")))
 
-    wide = per.groupBy("first_id").agg(*[of(f).alias(f) for f in fields])
+    wide = latest.groupBy("first_id").agg(*[of(f).alias(f) for f in fields])
     return (
-        _greatest_rows(scored)
+        _greatest_rows(scored, latest, fields)
         .join(wide, "first_id", "left")
         .select("first_id", "survivor_id", *[F.col(f"{f}.value").alias(f) for f in fields], *[F.col(f"{f}.id").alias(f"{f}_from") for f in fields])
     )
