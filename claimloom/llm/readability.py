@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.tokens import BREAK, Words, cleaned, slices
+from claimloom.session import materialize
 
 #: Function words that tell the language of a text.
 FUNCTION_WORDS = {
@@ -94,15 +95,12 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
 def familiar_words(docs: DataFrame, size: int = max(LIST_SIZES)) -> list[dict[str, int]]:
     """For each language its ``size`` most frequent words with their ranks; bounded by ``size``."""
-    df = document_frequencies(docs).persist()
-    try:
-        out = []
-        for lang in LANGUAGES:
-            top = df.where(F.col("lang") == lang).orderBy(F.desc("n_docs"), "word").limit(size).collect()
-            out.append({r["word"]: i for i, r in enumerate(top)})
-        return out
-    finally:
-        df.unpersist()
+    df = materialize(document_frequencies(docs), "words")
+    out = []
+    for lang in LANGUAGES:
+        top = df.where(F.col("lang") == lang).orderBy(F.desc("n_docs"), "word").limit(size).collect()
+        out.append({r["word"]: i for i, r in enumerate(top)})
+    return out
 
 
 @dataclass
@@ -163,10 +161,19 @@ class _Rated(_Batch):
     def total(self, of_word: np.ndarray) -> np.ndarray:
         return np.bincount(self.doc, weights=of_word[self.code] * self.count, minlength=self.n_docs)
 
-    def shares(self) -> np.ndarray:
-        m = np.zeros((self.n_docs, len(self.vocabulary)), dtype=np.float32)
-        m[self.doc, self.code] = self.count / np.maximum(self.n, 1)[self.doc]
-        return m
+    def shares(self, words: np.ndarray, block: int = 4096) -> Iterator[np.ndarray]:
+        """Share of each of ``words`` in each document, in blocks of so many words: the whole is never in memory."""
+        order = np.argsort(self.code, kind="stable")
+        code, doc = self.code[order], self.doc[order]
+        share = (self.count / np.maximum(self.n, 1)[self.doc])[order]
+        for at in range(0, len(words), block):
+            part = words[at : at + block]
+            m = np.zeros((self.n_docs, len(part)), dtype=np.float32)
+            lo, hi = np.searchsorted(code, part[0], "left"), np.searchsorted(code, part[-1], "right")
+            place = np.searchsorted(part, code[lo:hi])
+            ok = part[np.minimum(place, len(part) - 1)] == code[lo:hi]
+            m[doc[lo:hi][ok], place[ok]] = share[lo:hi][ok]
+            yield m
 
 
 def fit_level_model(rows: list, ranks: list[dict[str, int]], ridge: float = 0.5, word_weight: float = 8.0, min_docs: int = 3, folds: int = 5, lowest: int = 1, highest: int = 4) -> LevelModel:
@@ -180,12 +187,14 @@ def fit_level_model(rows: list, ranks: list[dict[str, int]], ridge: float = 0.5,
     x, y = _Rated(rows), np.array([r["level"] for r in rows])
     f = x.features(ranks)
     mean, scale = f.mean(0), f.std(0) + 1e-9
-    seen = np.bincount(x.code, minlength=len(x.vocabulary)) >= min_docs
-    b = x.shares()[:, seen] * np.float32(word_weight)
-    bm = b.mean(0)
-    a = np.column_stack([((f - mean) / scale * 0.3).astype(np.float32), b - bm])
-    del b
-    kernel = (a @ a.T).astype(np.float64)
+    seen = np.flatnonzero(np.bincount(x.code, minlength=len(x.vocabulary)) >= min_docs)
+    plain = (f - mean) / scale * 0.3
+    kernel, means = plain @ plain.T, []
+    for m in x.shares(seen):
+        m *= np.float32(word_weight)
+        means.append(m.mean(0))
+        m -= means[-1]
+        kernel += m @ m.T
 
     def solve(tr: np.ndarray) -> tuple[float, np.ndarray]:
         w = np.ones(len(tr))
@@ -212,11 +221,14 @@ def fit_level_model(rows: list, ranks: list[dict[str, int]], ridge: float = 0.5,
         slope = float(np.clip(spread @ (y - y.mean()) / max(spread @ spread, 1e-9), 1.0, 1.3))
         shift = float(np.median(y - slope * held))
     mu, dual = solve(everyone)
-    coef = slope * (a.T @ dual)
-    nf = f.shape[1]
-    words = [v for v, s in zip(x.vocabulary, seen) if s]
-    start = float(slope * mu + shift - bm @ coef[nf:])
-    return LevelModel(ranks, mean, scale, coef[:nf] * 0.3, start, lowest, highest, dict(zip(words, coef[nf:].tolist())), word_weight)
+    of_words, shifted = [], 0.0
+    for m, middle in zip(x.shares(seen), means):
+        m *= np.float32(word_weight)
+        m -= middle
+        of_words.append(slope * (m.T @ dual))
+        shifted += float(middle @ of_words[-1])
+    words = dict(zip((x.vocabulary[i] for i in seen), np.concatenate([*of_words, np.zeros(0)]).tolist()))
+    return LevelModel(ranks, mean, scale, slope * (plain.T @ dual) * 0.3, float(slope * mu + shift - shifted), lowest, highest, words, word_weight)
 
 
 def reading_levels(docs: DataFrame, labels: DataFrame, min_words: int = 80, max_labels: int = 2000) -> DataFrame:
