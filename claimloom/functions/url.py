@@ -5,14 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Needles that mark hosts by category, matched as substrings of the host.  Generic kinds of sites;
-#: every function that uses them takes another table as a parameter.
+#: Needles that mark hosts by category, matched as substrings of the host; every function that uses
+#: them takes another table as a parameter.
 HOST_RULES: dict[str, list[str]] = {
-    "social": ["facebook.", "instagram.", "pinterest.", "youtube.", "tiktok.", "linkedin.", "shutterstock.", "istockphoto.", "wikipedia.", "raupenbilder."],
-    "marketplace": ["alibaba.", "amazon.", "ebay.", "mascus.", "europages.", "marktplatz-", "maschinenverzeichnis.", "firmenportal."],
-    "cdn": ["cloudfront.", "akamaized.", "gstatic.", "imgur.", "wp.com", "bildlager."],
-    "maker": ["-track.", "-bau."],
-}
+    "social": [
+        "pinterest.", "tiktok.", "facebook.", "fb.watch", "instagram.", "youtube.", "youtu.be", "twitter.", "reddit.", "redd.it", "linkedin.", "vk.com", "weibo.", "flickr.",
+        "tumblr.", "quora.", "shutterstock.", "istockphoto.", "gettyimages.", "alamy.", "dreamstime.", "123rf.", "depositphotos.", "stock.adobe.", "adobestock.", "wikipedia.", "wikimedia.",
+    ],
+    "marketplace": [
+        "alibaba.", "aliexpress.", "made-in-china.", "indiamart.", "amazon.", "ebay.", "etsy.", "wish.com", "dhgate.", "tradeindia.", "globalsources.", "ec21.", "tradekey.",
+        "machinerytrader.", "marketbook.", "mascus.", "machineryzone.", "exapro.", "europages.", "directindustry.", "ironplanet.", "govplanet.", "ritchiespecs.",
+        "equipmenttrader.", "trademachines.", "truckpaper.", "forestrytrader.", "mylittlesalesman.", "cranenetwork.", "plantandequipment.", "agriaffaires.",
+        "truck1.", "autoline.", "rockanddirt.", "sandhills.", "kijiji.", "gumtree.", "craigslist.", "houseofcontractors.", "masterwholesale.", "trademe.", "olx.",
+        "alfagomma", "surplusrecord.",
+    ],
+    "cdn": [
+        "ytimg.", "ggpht.", "pinimg.", "fbcdn.", "twimg.", "i.redd.", "wp.com", "staticflickr.", "cloudfront.", "blogspot.", "wixstatic.", "squarespace-cdn.",
+        "cdn.shopify.", "shopifycdn.", "alicdn.", "aliexpress-media.", "hearstapps.", "sanity.io", "lookaside.fbsbx.", "media.sandhills.", "imgur.", "gstatic.",
+        "akamaized.", "cdninstagram.",
+    ],
+    "maker": [
+        "liebherr.", "banditchippers.", "toro.", "vermeer.", "rayco.", "carltonsp.", "imergroup.", "ensigneq.", "canycom.", "cormidi.", "hinowa.", "merlo.",
+        "takeuchi-us.", "kubota.", "bobcat.", "avant.", "prinoth.", "seppi.",
+    ],
+}
 LOW_TRUST = ("social", "marketplace", "cdn")
 
 
