@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.similarity import matching_ratio
@@ -11,13 +13,60 @@ from claimloom.operators.resolve import containment_pairs, token_pairs
 from claimloom.session import materialize
 
 
+def similar_tokens(left: DataFrame, right: DataFrame, least: float = 0.85, most_longer: int = 2) -> DataFrame:
+    """``(a, b, score)``: all pairs of different words ``left(a)``, ``right(b)`` of that Ratcliff-Obershelp ratio whose
+    lengths differ by at most ``most_longer``.
+
+    Exact by pieces: the letters that two words of T letters in all have in common under a ratio r are a common
+    subsequence, so (1 - r) T deletions and insertions lead from one to the other.  Cut into one piece more than
+    that, some piece of ``b`` stands unchanged in ``a``, shifted by no more than that.  Pieces are joined with the
+    lengths of both words and their number; the letters in common must then suffice for the ratio before it is
+    computed, in Python.
+    """
+    n = F.length("w")
+    lengths = F.filter(F.sequence(n - most_longer, n + most_longer), lambda x: x > 0)
+
+    def edits(total: Column) -> Column:
+        return F.floor((1 - least) * total + 1e-9).cast("int")
+
+    def pieces(length: Column, total: Column) -> Column:
+        """Array of (number, start, length) of the pieces of a word."""
+        u = edits(total)
+        cut = lambda k: F.floor(length * k / (u + 1)).cast("int")
+        return F.transform(F.sequence(F.lit(0), u), lambda k: F.struct(k.alias("k"), cut(k).alias("at"), (cut(k + 1) - cut(k)).alias("size")))
+
+    def stored(la: Column) -> Column:
+        return F.transform(pieces(n, la + n), lambda p: F.xxhash64(la, n, p["k"], F.substring("w", p["at"] + 1, p["size"])))
+
+    def sought(lb: Column) -> Column:
+        u = edits(lb + n)
+        of_piece = lambda p: F.transform(
+            F.filter(F.sequence(p["at"] - u, p["at"] + u), lambda i: (i >= 0) & (i + p["size"] <= n)), lambda i: F.xxhash64(n, lb, p["k"], F.substring("w", i + 1, p["size"]))
+        )
+        return F.flatten(F.transform(pieces(lb, lb + n), of_piece))
+
+    def letters(c: Column) -> Column:
+        # the same letter again is another one: a common multiset becomes a common set
+        s = F.array_sort(F.split(c, ""))
+        return F.transform(s, lambda x, i: F.concat(x, (i - F.array_position(s, x)).cast("string")))
+
+    def keyed(df: DataFrame, c: str, keys: Callable[[Column], Column]) -> DataFrame:
+        w = df.select(F.col(c).alias("w")).where("w <> ''")
+        return w.select(F.col("w").alias(c), F.explode(F.array_distinct(F.flatten(F.transform(lengths, keys)))).alias("key"))
+
+    # the keys are many times the words that the planner sees: never broadcast them
+    met = keyed(left, "a", sought).hint("merge").join(keyed(right, "b", stored), "key").select("a", "b").distinct()
+    total = F.length("a") + F.length("b")
+    met = met.where(2 * F.size(F.array_intersect(letters(F.col("a")), letters(F.col("b")))) >= least * total - 1e-9)
+    return materialize(met.withColumn("score", matching_ratio(F.col("a"), F.col("b"))).where(F.col("score") >= least), "near")
+
+
 def firm_matches(cand: DataFrame, firms: DataFrame, least_tokens: float = 0.34, least_ratio: float = 0.85, spelling: bool = True) -> DataFrame:
     """``(cand_id, firm_id, level, score)`` for every candidate; level exact, similar or none.
 
     ``cand(cand_id, name)``, ``firms(firm_id, name)``.  Stages: equal names (the last firm of a name), containment
     of five letters or more (the first firm, 0.9), best token overlap, best ratio of two tokens.  Each stage sees
-    what the earlier ones left.  Tokens meet in the last stage only if they share two letters in a row, which a
-    ratio of 0.85 implies.
+    what the earlier ones left; every different name and token is compared once, however many rows hold it.
     """
     c = cand.select("cand_id", norm(F.col("name")).alias("n"), brand_tokens(F.col("name")).alias("t"))
     f = firms.select("firm_id", norm(F.col("name")).alias("n"), brand_tokens(F.col("name")).alias("t"))
@@ -28,23 +77,26 @@ def firm_matches(cand: DataFrame, firms: DataFrame, least_tokens: float = 0.34,
     exact = materialize(exact, "exact")
     out = level(exact, "exact")
     rest = c_some.join(exact.select("cand_id"), "cand_id", "left_anti")
-    inside = containment_pairs(rest.select(F.col("cand_id").alias("l"), F.col("n").alias("ln")), f.select(F.col("firm_id").alias("r"), F.col("n").alias("rn")))
-    inside = inside.groupBy("l").agg(F.min("r").alias("firm_id")).select(F.col("l").alias("cand_id"), "firm_id", F.lit(0.9).alias("score"))
-    inside = materialize(inside, "inside")
+    names = materialize(f.where("n <> ''").groupBy("n").agg(F.min("firm_id").alias("firm_id")), "names")
+    mine = rest.select("n").distinct()
+    inside = containment_pairs(mine.select(F.col("n").alias("l"), F.col("n").alias("ln")), names.select(F.col("firm_id").alias("r"), F.col("n").alias("rn")))
+    inside = inside.groupBy("l").agg(F.min("r").alias("firm_id")).select(F.col("l").alias("n"), "firm_id", F.lit(0.9).alias("score"))
+    inside = materialize(rest.join(inside, "n").select("cand_id", "firm_id", "score"), "inside")
     out = out.union(level(inside, "exact"))
-    rest = rest.join(inside.select("cand_id"), "cand_id", "left_anti")
-    tok = token_pairs(rest.select(F.col("cand_id").alias("l"), F.col("t").alias("lt")), f.select(F.col("firm_id").alias("r"), F.col("t").alias("rt")), least_tokens)
-    tok = tok.groupBy("l").agg(F.min_by(F.struct("r", "score"), F.struct((-F.col("score")).alias("s"), "r")).alias("x")).select(F.col("l").alias("cand_id"), F.col("x.r").alias("firm_id"), F.col("x.score").alias("score"))
-    tok = materialize(tok, "tokens")
+    rest = rest.join(inside.select("cand_id"), "cand_id", "left_anti").select("cand_id", F.array_sort("t").alias("t"))
+    rest = materialize(rest, "rest")
+    sets = f.select("firm_id", F.array_sort("t").alias("t")).where("size(t) > 0").groupBy("t").agg(F.min("firm_id").alias("r"))
+    tok = token_pairs(rest.select(F.col("t").alias("l"), F.col("t").alias("lt")).distinct(), sets.select("r", F.col("t").alias("rt")), least_tokens)
+    tok = tok.groupBy("l").agg(F.min_by(F.struct("r", "score"), F.struct((-F.col("score")).alias("s"), "r")).alias("x"))
+    tok = materialize(rest.join(tok.withColumnRenamed("l", "t"), "t").select("cand_id", F.col("x.r").alias("firm_id"), F.col("x.score").alias("score")), "tokens")
     out = out.union(level(tok, "exact"))
     if spelling:
         rest = materialize(rest.join(tok.select("cand_id"), "cand_id", "left_anti"), "rest")
-        a, b = rest.select(F.explode("t").alias("a")).distinct(), f.select(F.explode("t").alias("b")).distinct()
-        two = lambda df, k: df.select(k, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(k) - 1), lambda i: F.substring(F.col(k), i, F.lit(2))))).alias("g"))
-        near = two(a, "a").join(two(b, "b"), "g").where(F.abs(F.length("a") - F.length("b")) <= 2).select("a", "b").distinct()
-        near = materialize(near.withColumn("score", matching_ratio(F.col("a"), F.col("b"))).where(F.col("score") >= least_ratio), "near")
-        typo = rest.select("cand_id", F.explode("t").alias("a")).join(near, "a").join(f.select("firm_id", F.explode("t").alias("b")), "b")
-        typo = typo.groupBy("cand_id").agg(F.min_by(F.struct("firm_id", "score"), F.struct((-F.col("score")).alias("s"), "firm_id")).alias("x")).select("cand_id", "x.firm_id", "x.score")
+        b = materialize(f.select("firm_id", F.explode("t").alias("b")).groupBy("b").agg(F.min("firm_id").alias("firm_id")), "tokens")
+        near = similar_tokens(rest.select(F.explode("t").alias("a")).distinct(), b.select("b"), least_ratio)
+        pick = F.min_by(F.struct("firm_id", "score"), F.struct((-F.col("score")).alias("s"), "firm_id")).alias("x")
+        best = near.join(b, "b").groupBy("a").agg(pick).select("a", "x.*")
+        typo = rest.select("cand_id", F.explode("t").alias("a")).join(best, "a").groupBy("cand_id").agg(pick).select("cand_id", "x.firm_id", "x.score")
         out = out.union(level(materialize(typo, "spelling"), "similar"))
     none = c.join(out.select("cand_id"), "cand_id", "left_anti").select("cand_id", F.lit(None).cast("bigint").alias("firm_id"), F.lit("none").alias("level"), F.lit(0.0).alias("score"))
     return out.union(none)
@@ -57,7 +109,9 @@ def known_applications(cand: DataFrame, known: DataFrame, least_ratio: float = 0
     x = cand.select("cand_id", "firm_id", application(F.col("application")).alias("a")).where("a <> ''").join(k, "firm_id")
     long = (F.length("a") >= 4) & (F.length("b") >= 4)
     plain = (F.col("a") == F.col("b")) | (long & (F.contains("a", F.col("b")) | F.contains("b", F.col("a"))))
-    close = x.where(~plain).withColumn("r", matching_ratio(F.col("a"), F.col("b"))).where(F.col("r") >= least_ratio)
+    # different pairs only: the ratio is computed once for each
+    texts = x.where(~plain).select("a", "b").distinct().withColumn("r", matching_ratio(F.col("a"), F.col("b"))).where(F.col("r") >= least_ratio)
+    close = x.where(~plain).join(texts, ["a", "b"])
     return x.where(plain).select("cand_id", "firm_id").union(close.select("cand_id", "firm_id")).distinct()
 
 
@@ -72,3 +126,19 @@ def contained_pattern(names: DataFrame, patterns: DataFrame) -> DataFrame:
     p = patterns.select("ord", "code", norm(F.col("key")).alias("k")).where("k <> ''")
     hit = distinct.join(p, F.contains("n", F.col("k")) | F.contains("k", F.col("n"))).groupBy("n").agg(F.min_by("code", "ord").alias("code"))
     return n.join(hit, "n").select("id", "code")
+
+
+def dedup_status(cand: DataFrame, customers: DataFrame, **limits: float) -> DataFrame:
+    """``(cand_id, status, firm_id, level, score)`` of candidates against a customer list.
+
+    ``cand(cand_id, name, application, model)``, ``customers(firm_id, name, application)`` with one row for each
+    application of a firm.  No firm is new; a firm by spelling only is to be checked; a firm that has the application
+    or model is a duplicate, else a new application.
+    """
+    known = customers.select("firm_id", norm(F.col("name")).alias("n"), "application").where("n <> ''")
+    firms = known.groupBy("n").agg(F.max("firm_id").alias("firm_id"))
+    match = materialize(firm_matches(cand.select("cand_id", "name"), firms.select("firm_id", F.col("n").alias("name")), **limits), "firms")
+    asked = cand.select("cand_id", F.explode(F.array("application", "model")).alias("application")).join(match.where("firm_id is not null").select("cand_id", "firm_id"), "cand_id")
+    has = known_applications(asked, known.join(firms.withColumnRenamed("firm_id", "first"), "n").select(F.col("first").alias("firm_id"), "application")).select("cand_id", F.lit(True).alias("has")).distinct()
+    status = F.when(F.col("level") == "none", "new").when(F.col("level") == "similar", "check").when(F.col("has"), "duplicate").otherwise("new application")
+    return match.join(has, "cand_id", "left").select("cand_id", status.alias("status"), "firm_id", "level", "score")

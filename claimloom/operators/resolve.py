@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import brand_tokens, jaccard, norm, value_or_null
+from claimloom.session import materialize
 
 STRONG_KEYS = ("lei", "vat", "hr_number")
 
@@ -83,22 +85,51 @@ def containment_pairs(left: DataFrame, right: DataFrame, least: int = 5) -> Data
     return a.select("l", "r", "ln", "rn").union(b.select("l", "r", "ln", "rn")).distinct().select("l", "r", (F.least(ln, rn) / F.greatest(ln, rn)).alias("score"))
 
 
-def weak_matches(new: DataFrame, org: DataFrame, least: float = 0.34, apart: DataFrame | None = None) -> DataFrame:
+def whitelisted(a: Column, b: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """Whether one of two normal names contains the one text and the other the other text of a rule: known namesakes."""
+    both = lambda x, y: F.contains(a, F.lit(x)) & F.contains(b, F.lit(y))
+    return functools.reduce(lambda out, r: out | both(*r) | both(*r[::-1]), rules, F.lit(False))
+
+
+def weak_names(left: DataFrame, right: DataFrame, least: float, rules: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """``(ln, rn, tier, score)``: different names ``left(ln)`` and ``right(rn, rt)`` that are weak candidates.
+
+    ``rt`` are the brand tokens of the right name's own spelling.  Every name is compared once, however many rows
+    hold it; equal sets of tokens too.
+    """
+    ln = left.select("ln").where("ln <> ''").distinct()
+    rn = right.select("rn").distinct()
+    inside = containment_pairs(ln.select(F.col("ln").alias("l"), "ln"), rn.select(F.col("rn").alias("r"), "rn")).select(F.col("l").alias("ln"), F.col("r").alias("rn"), F.lit("substring").alias("tier"), "score")
+    lt = materialize(ln.select("ln", F.array_sort(brand_tokens(F.col("ln"))).alias("lt")).where("size(lt) > 0"), "tokens")
+    rt = materialize(right.select("rn", F.array_sort("rt").alias("rt")).where("size(rt) > 0").distinct(), "tokens")
+    sets = token_pairs(lt.select(F.col("lt").alias("l"), "lt").distinct(), rt.select(F.col("rt").alias("r"), "rt").distinct(), least)
+    brand = lt.join(sets.withColumnRenamed("l", "lt"), "lt").join(rt.withColumnRenamed("rt", "r"), "r").select("ln", "rn", F.lit("brand").alias("tier"), "score")
+    out = inside.union(brand)
+    return out.where(~whitelisted(F.col("ln"), F.col("rn"), rules)) if rules else out
+
+
+def weak_matches(new: DataFrame, org: DataFrame, least: float = 0.34, apart: DataFrame | None = None, rules: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """``(new_id, org_id, tier, score)``: the best weak candidate by containment or brand tokens.
 
     ``new(new_id, name)``, ``org(id, canonical_name, norm_name)``; ``apart(new_id, id)`` holds pairs known to be
-    different.  Ties go to the smallest id and to containment before tokens; scores are not rounded.
+    different, ``rules`` texts of namesakes (``whitelisted``).  Ties go to the smallest id and to containment before
+    tokens; scores are not rounded.  Names are compared once each, and stand for their smallest id unless a pair
+    with it is known to be apart.
     """
-    l = new.select(F.col("new_id").alias("l"), norm(F.col("name")).alias("ln"), brand_tokens(F.col("name")).alias("lt"))
-    r = org.select(F.col("id").alias("r"), F.coalesce("norm_name", norm(F.col("canonical_name"))).alias("rn"), brand_tokens(F.col("canonical_name")).alias("rt"))
-    pairs = containment_pairs(l.select("l", "ln"), r.select("r", "rn")).withColumn("tier", F.lit("substring")).union(
-        token_pairs(l.select("l", "lt"), r.select("r", "rt"), least).withColumn("tier", F.lit("brand"))
-    )
-    if apart is not None:
-        pairs = pairs.join(apart.select(F.col("new_id").alias("l"), F.col("id").alias("r")), ["l", "r"], "left_anti")
+    l = new.select(F.col("new_id").alias("l"), norm(F.col("name")).alias("ln"))
+    r = org.select(F.col("id").alias("r"), F.coalesce("norm_name", norm(F.col("canonical_name"))).alias("rn"), F.array_sort(brand_tokens(F.col("canonical_name"))).alias("rt"))
+    names = materialize(r.groupBy("rn", "rt").agg(F.min("r").alias("r")), "names")
+    pairs = materialize(weak_names(l, names, least, rules), "weak")
     order = F.struct((-F.col("score")).alias("s"), "r", (F.col("tier") != "substring").alias("t"))
-    best = pairs.groupBy("l").agg(F.min_by(F.struct(F.col("r").alias("org_id"), "tier", "score"), order).alias("x"))
-    return best.select(F.col("l").alias("new_id"), "x.*")
+    best = lambda p, key: p.groupBy(key).agg(F.min_by(F.struct(F.col("r").alias("org_id"), "tier", "score"), order).alias("x"))
+    # the best right name of each left name first: what a hot name shares is settled once
+    first = names.groupBy("rn").agg(F.min("r").alias("r"))
+    out = l.join(best(pairs.join(first, "rn"), "ln"), "ln").select(F.col("l").alias("new_id"), "x.*")
+    if apart is None:
+        return out
+    some = apart.select(F.col("new_id").alias("l")).distinct()
+    wide = l.join(some, "l").join(pairs, "ln").join(r.select("r", "rn"), "rn").join(apart.select(F.col("new_id").alias("l"), F.col("id").alias("r")), ["l", "r"], "left_anti")
+    return out.join(some, out["new_id"] == some["l"], "left_anti").union(best(wide, "l").select(F.col("l").alias("new_id"), "x.*"))
 
 
 def classify(new: DataFrame, org: DataFrame, keys: Sequence[str] = (), least: float = 0.34) -> DataFrame:
@@ -111,9 +142,9 @@ def classify(new: DataFrame, org: DataFrame, keys: Sequence[str] = (), least: fl
     if keys:
         done = strong_matches(new, org, keys).select("new_id", "org_id", F.lit("strong").alias("tier"), F.lit(1.0).alias("score"))
         rest = new.join(done, "new_id", "left_anti")
-    exact = name_matches(rest, org).select("new_id", "org_id", F.lit("norm").alias("tier"), F.lit(1.0).alias("score"))
-    rest = rest.join(exact, "new_id", "left_anti")
-    weak = weak_matches(rest, org, least)
+    exact = materialize(name_matches(rest, org), "exact").select("new_id", "org_id", F.lit("norm").alias("tier"), F.lit(1.0).alias("score"))
+    rest = materialize(rest.join(exact, "new_id", "left_anti"), "rest")
+    weak = materialize(weak_matches(rest, org, least), "weak")
     none = rest.join(weak, "new_id", "left_anti").select("new_id", F.lit(None).cast("bigint").alias("org_id"), F.lit("none").alias("tier"), F.lit(0.0).alias("score"))
     out = exact.union(weak).union(none)
     return out.union(done) if done is not None else out

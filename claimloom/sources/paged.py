@@ -16,8 +16,8 @@ class PageRange(InputPartition):
 def paged_source(name: str, ddl: str, fetch: Callable[[int, int], list[tuple]], pages: int, page_size: int = 100, per_partition: int = 5) -> type[DataSource]:
     """A data source class for ``spark.dataSource.register``.
 
-    ``fetch(page, size)`` returns the rows of a page, fewer than ``size`` on the last one; ``pages`` bounds the
-    read.  Only columns of ``ddl`` are asked for, so a one-field scan stays a one-field scan.  An error in
+    ``fetch(page, size)`` returns the rows of a page, fewer than ``size`` on the last one; ``pages`` is the
+    number of pages to share out; a store that has more is an error, not a shorter result.  Only columns of ``ddl`` are asked for, so a one-field scan stays a one-field scan.  An error in
     ``fetch`` fails the task, which Spark retries; rows are never silently missing.
     """
 
@@ -31,6 +31,8 @@ def paged_source(name: str, ddl: str, fetch: Callable[[int, int], list[tuple]],
                 yield from rows
                 if len(rows) < page_size:
                     return
+                if page == pages - 1 and fetch(pages, page_size):
+                    raise RuntimeError(f"the store has more than {pages} pages; rows would be missing")
 
     class Source(DataSource):
         @classmethod

@@ -28,11 +28,11 @@ def with_retry(call: Callable[[], object], tries: int = 3, pause: float = 0.5, s
     return None
 
 
-def write_batches(df: DataFrame, send: Callable[[list[dict]], None], size: int = 10, pause: float = 0.0) -> int:
+def write_batches(df: DataFrame, send: Callable[[list[dict]], None], size: int = 10, pause: float = 0.0, loud: bool = True) -> int:
     """Send every row to a store in batches of ``size`` from the executors; the number of rows that failed.
 
     ``send`` must be idempotent (keyed): a lost task is run again.  A batch that fails for good is counted and
-    the rest goes on; callers decide whether a count above zero ends the run.
+    the rest goes on; in the end a count above zero is an error unless ``loud`` is false.
     """
     failed = df.sparkSession.sparkContext.accumulator(0)
 
@@ -56,6 +56,8 @@ def write_batches(df: DataFrame, send: Callable[[list[dict]], None], size: int =
         flush()
 
     df.foreachPartition(part)
+    if loud and failed.value:
+        raise RuntimeError(f"{failed.value} rows were not written")
     return failed.value
 
 

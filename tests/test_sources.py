@@ -45,6 +45,11 @@ def test_paged_store(spark):
     spark.dataSource.register(src)
     # a short page ends its partition; ranges beyond the end give the store's own answer
     assert spark.read.format("store_a").load().where("id < 13").count() == 13
+    # a store with more pages than stated is no shorter table
+    full = paged.paged_source("store_b", "id int", lambda page, size: [(page * size + i,) for i in range(size)], pages=3, page_size=4, per_partition=2)
+    spark.dataSource.register(full)
+    with pytest.raises(Exception, match="more than 3 pages"):
+        spark.read.format("store_b").load().count()
 
 
 def test_retries():
@@ -69,7 +74,9 @@ def test_batched_sink(spark, tmp_path):
             raise ValueError
         open(f"{out}/{batch[0]['id']}", "w").write(str(len(batch)))
 
-    assert sinks.write_batches(spark.range(25).coalesce(1), send, size=10) == 10
+    assert sinks.write_batches(spark.range(25).coalesce(1), send, size=10, loud=False) == 10
+    with pytest.raises(RuntimeError, match="10 rows"):
+        sinks.write_batches(spark.range(25).coalesce(1), send, size=10)
     assert sorted(p.name for p in tmp_path.iterdir()) == ["0", "20"]
 
 
