@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimloom.functions import address as A
 from claimloom.functions import text as T
 from claimloom.operators import claims as C
+from claimloom.operators import imports
 from claimloom.operators import ordered
 from claimloom.operators import resolve as R
 from claimloom.plans.catalog import query
@@ -289,3 +290,43 @@ def table_counts(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "organization").agg(F.count(F.lit(1)).alias("orgs"), F.count("lei").alias("with_lei"))
     c = table(spark, d, "claim").agg(F.count(F.lit(1)).alias("claims"))
     return o.join(c, F.lit(True)).join(table(spark, d, "seed").agg(F.count(F.lit(1)).alias("seeds")), F.lit(True))
+
+
+_REG = r"""list_sort(list_distinct(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(lower(replace(regexp_replace(coalesce({0}, ''), '\(.*?\)', ' ', 'g'), '&', ' ')), '\b({1})\b\.?', ' ', 'g'), '[^a-z0-9äöüß ]+', ' ', 'g'), ' +'), lambda t: len(t) >= 3)))"""
+
+
+def _reg(c: str) -> str:
+    return _REG.format(c, "|".join(T.REGISTER_FORMS))
+
+
+@query(
+    f"WITH l AS (SELECT id, {_reg('canonical_name')} AS t, country AS c FROM organization), r AS (SELECT entry_id, {_reg('legal_name')} AS t, country AS c FROM register_entry), "
+    "j AS (SELECT id, entry_id, len(list_intersect(l.t, r.t)) / len(list_distinct(list_concat(l.t, r.t))) AS score FROM l, r WHERE len(l.t) > 0 AND len(r.t) > 0 AND (l.c IS NULL OR r.c IS NULL OR l.c = r.c)), "
+    "k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, entry_id) AS n FROM j WHERE score >= 0.6) SELECT id, entry_id, score FROM k WHERE n = 1"
+)
+def register_best_hits(spark: SparkSession, d: str) -> DataFrame:
+    """For every organisation the register's entry with the most similar name, guarded by the country."""
+    o = table(spark, d, "organization").select("id", F.col("canonical_name").alias("name"), "country")
+    return imports.best_register_hits(o, table(spark, d, "register_entry").select("entry_id", "legal_name", "country"))
+
+
+_IMPORT = (
+    f"s AS (SELECT seed_id AS ord, oem AS name, land AS c, {sql_norm('oem')} AS n, {sql_brand('oem')} AS t FROM seed), o AS (SELECT id, coalesce(norm_name, {sql_norm('canonical_name')}) AS n, norm_name AS nn, country AS c, {sql_brand('canonical_name')} AS t FROM organization), "
+    "k AS (SELECT ord, min(id) AS m FROM s JOIN o ON s.n = o.nn WHERE s.c IS NULL OR o.c IS NULL OR s.c = o.c GROUP BY ord), "
+    "x AS (SELECT * FROM s WHERE ord NOT IN (SELECT ord FROM k)), f AS (SELECT n, min(ord) AS first, arg_min(coalesce(c, '<none>'), ord) AS fc FROM x GROUP BY n), w AS (SELECT n, c, min(ord) AS own FROM x WHERE c IS NOT NULL GROUP BY n, c), "
+    "b AS (SELECT x.*, CASE WHEN x.c IS NULL OR f.fc = '<none>' THEN f.first ELSE w.own END AS target FROM x JOIN f USING (n) LEFT JOIN w ON x.n = w.n AND x.c = w.c), "
+    "made AS (SELECT * FROM b WHERE target = ord), old AS (SELECT id AS r, -1 AS since, n, t FROM o UNION ALL SELECT -ord - 1, ord, n, t FROM made), "
+    "p AS (SELECT a.ord, r, since, 'substring' AS tier, 0 AS tk, least(len(a.n), len(z.n)) / greatest(len(a.n), len(z.n)) AS score FROM made a JOIN old z ON since < a.ord WHERE len(a.n) >= 5 AND len(z.n) >= 5 AND (contains(a.n, z.n) OR contains(z.n, a.n)) "
+    "UNION ALL SELECT a.ord, r, since, 'brand', 1, len(list_intersect(a.t, z.t)) / len(list_distinct(list_concat(a.t, z.t))) FROM made a JOIN old z ON since < a.ord WHERE len(a.t) > 0 AND len(z.t) > 0 AND len(list_intersect(a.t, z.t)) / len(list_distinct(list_concat(a.t, z.t))) >= 0.34), "
+    "q AS (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, since, r, tk) AS g FROM p)"
+)
+
+
+@query(
+    f"WITH {_IMPORT} SELECT ord, 'merged-norm' AS outcome, m AS matched, 'norm' AS tier, 1.0 AS score FROM k UNION ALL SELECT ord, 'merged-norm', -target - 1, 'norm', 1.0 FROM b WHERE target <> ord "
+    "UNION ALL SELECT made.ord, CASE WHEN r IS NULL THEN 'created' ELSE 'review' END, r, coalesce(tier, 'none'), coalesce(score, 0.0) FROM made LEFT JOIN q ON made.ord = q.ord AND g = 1"
+)
+def er_import_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """The seeds imported in order into the organisations: merged, created or created with a row for review."""
+    s = table(spark, d, "seed").select(F.col("seed_id").alias("ord"), F.col("oem").alias("name"), F.col("land").alias("country"))
+    return imports.import_outcomes(s, table(spark, d, "organization"))

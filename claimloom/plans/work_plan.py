@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions import similarity as S
@@ -92,6 +92,8 @@ def _guard_sql(q: str, n: str) -> str:
     parts = [f"WHEN {q} = '' THEN 'empty'"]
     for reason, words in search.FORBIDDEN.items():
         parts.append("WHEN " + " OR ".join(rf"(regexp_matches({q}, '\b{w}\b') AND NOT regexp_matches({n}, '\b{w}\b'))" for w in words) + f" THEN '{reason}'")
+    one, two = ("|".join(words) for words in search.TOGETHER)
+    parts.append(rf"WHEN regexp_matches({q}, '\b({one})\b') AND regexp_matches({q}, '\b({two})\b') THEN 'tunnel inspection'")
     parts.append("WHEN NOT (" + " OR ".join(f"contains({q}, '{a}')" for a in search.ANCHORS) + ") THEN 'no anchor'")
     return "CASE " + " ".join(parts) + " ELSE 'ok' END"
 
@@ -152,6 +154,16 @@ def firm_cascade_with_spelling(spark: SparkSession, d: str) -> DataFrame:
     return firms.firm_matches(*_firms(spark, d))
 
 
+@query()
+def firm_dedup_status(spark: SparkSession, d: str) -> DataFrame:
+    """Seeds against the organisations as a customer list whose applications are the segments known of them; tested on
+    a fixture, as the ratio of spellings has no SQL."""
+    s = table(spark, d, "seed").select(F.col("seed_id").alias("cand_id"), F.col("oem").alias("name"), F.col("segment").alias("application"), F.col("pattern_code").alias("model"))
+    known = table(spark, d, "seed").select(T.norm(F.col("oem")).alias("n"), F.col("segment").alias("application")).distinct()
+    o = table(spark, d, "organization").select(F.col("id").alias("firm_id"), F.col("canonical_name").alias("name"))
+    return firms.dedup_status(s, o.join(known, T.norm(F.col("name")) == known["n"], "left").select("firm_id", "name", "application"))
+
+
 @query(
     f"WITH n AS (SELECT seed_id, {sql_norm('segment')} AS n FROM seed), p AS (SELECT pattern_id, code, {sql_norm('segment')} AS k FROM pattern_dim) "
     "SELECT seed_id AS id, arg_min(code, pattern_id) AS code FROM n, p WHERE n <> '' AND k <> '' AND (contains(n, k) OR contains(k, n)) GROUP BY 1"
@@ -192,15 +204,16 @@ def review_attachments(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "WITH h AS (SELECT review_id, lower(bild_hash) AS h FROM review WHERE regexp_matches(lower(bild_hash), '^[0-9a-f]{16}$') AND batch_no = 1), k AS (SELECT review_id, lower(bild_hash) AS h FROM review WHERE regexp_matches(lower(bild_hash), '^[0-9a-f]{16}$') AND batch_no = 2) "
-    "SELECT a.review_id AS a_id, b.review_id AS b_id, bit_count(xor(('0x' || substr(a.h, 1, 8))::BIGINT, ('0x' || substr(b.h, 1, 8))::BIGINT)) + bit_count(xor(('0x' || substr(a.h, 9, 8))::BIGINT, ('0x' || substr(b.h, 9, 8))::BIGINT)) AS bits "
-    "FROM h a JOIN k b ON substr(a.h, 1, 4) = substr(b.h, 1, 4)"
+    "WITH h AS (SELECT review_id, batch_no, lower(trim(bild_hash)) AS h FROM review WHERE regexp_matches(lower(trim(bild_hash)), '^[0-9a-f]{16}$')), "
+    "p AS (SELECT *, lag(review_id) OVER w AS before_id, lag(h) OVER w AS b FROM h WINDOW w AS (PARTITION BY batch_no ORDER BY review_id)) "
+    "SELECT review_id, before_id, bit_count(xor(('0x' || substr(h, 1, 8))::BIGINT, ('0x' || substr(b, 1, 8))::BIGINT)) + bit_count(xor(('0x' || substr(h, 9, 8))::BIGINT, ('0x' || substr(b, 9, 8))::BIGINT)) AS bits FROM p"
 )
 def hash_distances(spark: SparkSession, d: str) -> DataFrame:
-    """Bit distances between hashes of two batches that agree in their first 16 bits."""
-    r = table(spark, d, "review").where(F.lower("bild_hash").rlike("^[0-9a-f]{16}$")).select("review_id", "batch_no", F.lower("bild_hash").alias("h"), F.substring(F.lower("bild_hash"), 1, 4).alias("p"))
-    a, b = r.where("batch_no = 1").alias("a"), r.where("batch_no = 2").alias("b")
-    return a.join(b, F.col("a.p") == F.col("b.p")).select(F.col("a.review_id").alias("a_id"), F.col("b.review_id").alias("b_id"), S.hamming(F.col("a.h"), F.col("b.h")).alias("bits"))
+    """Bits between the hash of every record and that of the record before it in its batch."""
+    h = table(spark, d, "review").where(S.hash_bits(F.col("bild_hash")).isNotNull()).select("review_id", "batch_no", "bild_hash")
+    w = Window.partitionBy("batch_no").orderBy("review_id")
+    p = h.withColumns({"before_id": F.lag("review_id").over(w), "b": F.lag("bild_hash").over(w)})
+    return p.select("review_id", "before_id", S.hamming(F.col("bild_hash"), F.col("b")).alias("bits"))
 
 
 @query("SELECT event_id, json_extract_string(regexp_extract('reply: ' || props || ' end', '(?s)\\{.*\\}'), '$.k')::INT AS k, coalesce(json_extract_string(props, '$.k')::INT <> 0, true) AS keep FROM events")
