@@ -62,18 +62,18 @@ def abbreviations(left: DataFrame, right: DataFrame, least: int = 4, most: int =
 
 def candidates(op: DataFrame, sp: DataFrame, ent: DataFrame) -> DataFrame:
     """``(id, ent, dn, ds, ab)``: least distance of the rows' name to the entity's spellings, of their site's stem,
-    and whether one name begins with the other."""
-    name = lambda t: t.select("id", F.explode("strings").alias("s"), F.lit(True).alias("name"))
-    site = lambda t: t.select("id", F.explode("stems").alias("s"), F.lit(False).alias("name"))
+    and whether one whole name begins with the other.  A single word of under six letters must be equal."""
+    name = lambda t: t.select("id", F.posexplode("strings").alias("at", "s")).select("id", "s", F.lit(True).alias("name"), (F.col("at") == 0).alias("whole"))
+    site = lambda t: t.select("id", F.explode("stems").alias("s"), F.lit(False).alias("name"), F.lit(False).alias("whole"))
     left = materialize(name(sp).union(site(sp)).where("s <> ''").distinct(), "left")
-    right = materialize(name(op).union(site(op)).where("s <> ''").join(ent, "id").select("ent", "s").distinct(), "right")
+    right = materialize(name(op).union(site(op)).where("s <> ''").join(ent, "id").groupBy("ent", "s").agg(F.max("whole").alias("rwhole")), "right")
     a, b = left.select(F.col("s").alias("a")).distinct(), right.select(F.col("s").alias("b")).distinct()
-    short = abbreviations(left.where("name").select(F.col("s").alias("a")).distinct(), b)
+    short = abbreviations(left.where("whole").select(F.col("s").alias("a")).distinct(), right.where("rwhole").select(F.col("s").alias("b")).distinct())
     near = materialize(similar_strings(a, b).union(short.select("a", "b", F.lit(None).cast("int"))), "near")
     d, named = F.col("d"), F.col("name")
     return (
-        left.join(near, left["s"] == near["a"]).select("id", "name", "b", "d")
-        .join(right, F.col("b") == right["s"]).select("id", "ent", "name", "d")
+        left.join(near, left["s"] == near["a"]).select("id", "name", "whole", "b", "d")
+        .join(right, F.col("b") == right["s"]).where("(whole and rwhole) or d = 0 or (d is not null and (not name or length(b) >= 6))").select("id", "ent", "name", "d")
         .groupBy("id", "ent").agg(F.min(F.when(named, d)).alias("dn"), F.min(F.when(~named, d)).alias("ds"), F.max(named & d.isNull()).alias("ab"))
     )
 
@@ -120,8 +120,8 @@ def link_variants(seed: DataFrame, org: DataFrame, least_aligned: float = 0.6) -
     A seed is taken for an organisation whose name its own is a spelling of, if an optimal assignment of its tokens
     explains at least ``least_aligned`` of the shorter name (a common word alone does not), or whose site it gives
     (initials, nicknames), unless both line of business and country, or either with the other unknown, speak for a
-    namesake.  A common own site overrules that.  A name that only begins like the other (an abbreviation) needs
-    an equal business or country, and nothing better.  If some organisation agrees in business, country or site,
+    namesake.  A common own site overrules that.  A whole name that the other only begins with (an abbreviation) needs
+    an equal business or country, no other business, and nothing better.  If some organisation agrees in business, country or site,
     those that merely do not disagree are dropped; if none does, those whose tokens align best stay.  Blank names
     link by their site only; repeated rows link alike; empty tables give an empty result.
     """
@@ -132,7 +132,7 @@ def link_variants(seed: DataFrame, org: DataFrame, least_aligned: float = 0.6) -
     clash = (F.col("c") == -1) | ((F.col("b") == -1) & (F.col("c") <= 0))
     by_site = F.col("ds").isNotNull() & ~F.col("hk")
     agree = (F.col("b") == 1) | (F.col("c") == 1)
-    short = F.coalesce("ab", F.lit(False)) & aligned & agree & ~(named | by_site)
+    short = F.coalesce("ab", F.lit(False)) & aligned & agree & (F.col("b") >= 0) & ~(named | by_site)
     same = F.col("h") | (~clash & (named | by_site | short))
     # how strongly: a common site, then business or country, then an abbreviation with either, then nothing against
     strength = F.when(F.col("h"), 3).when(short, 1).when(agree, 2).otherwise(0)
