@@ -87,6 +87,7 @@ class Passages:
         self.n_shingles = np.array([len(x) for x in sh], dtype=np.int64)
         item = np.repeat(np.arange(len(ids)), self.n_shingles)
         flat = np.concatenate(sh) if sh else np.zeros(0, np.uint64)
+        self.own: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # different shingles of a passage, made when needed
         small = self.n_shingles <= search.whole
         # a passage of fewer than two shingles' words counts as one shingle of all its words
         self.tiny: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -167,11 +168,17 @@ class Passages:
 
     def _contains(self, i: int, doc: np.ndarray) -> bool:
         s, words = self.search, self.words[i]
-        mine = _shingles(words, s.shingle)
-        if not len(mine) or np.isin(mine, _shingles(doc, s.shingle)).sum() < s.contained * len(mine):
+        if i not in self.own:
+            self.own[i] = np.unique(_shingles(words, s.shingle), return_counts=True)
+        mine, often = self.own[i]
+        theirs = _shingles(doc, s.shingle)
+        place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+        met = np.zeros(len(mine), bool)
+        met[place[mine[place] == theirs]] = True
+        if often[met].sum() < s.contained * often.sum():
             return False
         need = s.coverage * len(words)
-        return two_runs(words, doc, s.shingle) >= need or covered(words, doc) >= need
+        return two_runs(words, doc, s.shingle) >= need or covered(words, doc, need) >= need
 
 
 def _placed(h: np.ndarray, doc: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -259,12 +266,15 @@ def _local(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
     return best
 
 
-def covered(passage: np.ndarray, doc: np.ndarray) -> int:
-    """Words of the passage that stand in ``doc`` in order, in one or two stretches (each a local alignment)."""
+def covered(passage: np.ndarray, doc: np.ndarray, need: float = float("inf")) -> int:
+    """Words of the passage that stand in ``doc`` in order, in one or two stretches (each a local alignment); as soon
+    as ``need`` is reached or out of reach, what is known so far."""
     n, i0, i1, j0, j1 = _local(passage, doc)
-    if not n:
-        return 0
-    return n + max(_local(passage[:i0], doc[:j0])[0], _local(passage[i1:], doc[j1:])[0])
+    second = 0
+    for a, b in ((passage[:i0], doc[:j0]), (passage[i1:], doc[j1:])):
+        if n and n + second < need and (np.isinf(need) or n + len(a) >= need):
+            second = max(second, _local(a, b)[0])
+    return n + second
 
 
 def passages_of(items: DataFrame) -> DataFrame:
