@@ -115,17 +115,28 @@ def known_applications(cand: DataFrame, known: DataFrame, least_ratio: float = 0
     return x.where(plain).select("cand_id", "firm_id").union(close.select("cand_id", "firm_id")).distinct()
 
 
-def contained_pattern(names: DataFrame, patterns: DataFrame) -> DataFrame:
+def contained_pattern(names: DataFrame, patterns: DataFrame, most: int = 1000) -> DataFrame:
     """``(id, code)``: the first pattern (by ``ord``) whose key contains the name or is contained in it.
 
-    ``names(id, name)``, ``patterns(ord, code, key)``.  Patterns are a dimension of bounded size; the join is on the
-    condition itself and Spark broadcasts the dimension while its size permits.
+    ``names(id, name)``, ``patterns(ord, code, key)``.  Up to ``most`` different keys are sent to the names; more are
+    joined by the first letters of the shorter text, and only texts of under three letters, of which there are few
+    different ones, are sent.  Each different name is compared once.
     """
     n = names.select("id", norm(F.col("name")).alias("n")).where("n <> ''")
-    distinct = n.select("n").distinct()
-    p = patterns.select("ord", "code", norm(F.col("key")).alias("k")).where("k <> ''")
-    hit = distinct.join(p, F.contains("n", F.col("k")) | F.contains("k", F.col("n"))).groupBy("n").agg(F.min_by("code", "ord").alias("code"))
-    return n.join(hit, "n").select("id", "code")
+    distinct = materialize(n.select("n").distinct(), "names")
+    p = patterns.select("ord", "code", norm(F.col("key")).alias("k")).where("k <> ''").groupBy("k").agg(F.min(F.struct("ord", "code")).alias("p"))
+    p = materialize(p, "patterns")
+    inside = F.contains("n", F.col("k")) | F.contains("k", F.col("n"))
+    if p.count() <= most:
+        pairs = distinct.join(F.broadcast(p), inside).select("n", "p")
+    else:
+        short = lambda c: F.length(c) < 3
+        long = containment_pairs(distinct.select(F.col("n").alias("l"), F.col("n").alias("ln")), p.select(F.col("k").alias("r"), F.col("k").alias("rn")), 3)
+        pairs = long.join(p, long["r"] == p["k"]).select(F.col("l").alias("n"), "p")
+        pairs = pairs.union(distinct.join(F.broadcast(p.where(short("k"))), inside).select("n", "p"))
+        pairs = pairs.union(p.where(~short("k")).join(F.broadcast(distinct.where(short("n"))), inside).select("n", "p"))
+    hit = pairs.groupBy("n").agg(F.min("p").alias("p"))
+    return n.join(hit, "n").select("id", F.col("p.code").alias("code"))
 
 
 def dedup_status(cand: DataFrame, customers: DataFrame, **limits: float) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import norm
@@ -155,6 +156,21 @@ def test_names_that_many_rows_share(spark):
     assert resolve.weak_matches(new, org, rules=[("rapid kran", "kranbau")]).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_contained_pattern(spark, most):
+    rng = random.Random(4)
+    text = lambda: "".join(rng.choice("abc ") for _ in range(rng.randrange(8))).strip()
+    names, keys = [(i, text()) for i in range(120)] + [(900, None)], [(i, f"P{i}", text()) for i in range(40)]
+    got = {r.id: r.code for r in firms.contained_pattern(spark.createDataFrame(names, "id int, name string"), spark.createDataFrame(keys, "ord int, code string, key string"), most).collect()}
+    want = {}
+    for i, n in names:
+        n = " ".join((n or "").split())
+        hit = next((c for _, c, k in keys if n and k.strip() and (" ".join(k.split()) in n or n in " ".join(k.split()))), None)
+        if hit:
+            want[i] = hit
+    assert got == want and want
+
+
 def test_dedup_status(spark):
     customers = spark.createDataFrame([(1, "Rapid Technic AG", "Mulchraupe"), (1, "Rapid Technic AG", None), (2, "Lindner Kranbau", "Kran"), (3, None, "x")], "firm_id bigint, name string, application string")
     rows_ = [(1, "rapid technic ag", "Mulchraupe 2", None), (2, "Rapid Technic AG", "Fräse", "F1"), (3, "Lindnre Werk", "Kran", None), (4, "Zzz", "Kran", None), (5, None, None, None), (6, "Lindner Kranbau", None, "kran")]
