@@ -269,3 +269,44 @@ def test_seeded_queries(spark):
 
 def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([(None, 1), (2, 2)], "src bigint, dst bigint")).count() == 0
+
+
+def sizes_written(monkeypatch, *modules):
+    """The rows of every table that the modules write from now on."""
+    from claimloom.session import materialize
+
+    sizes = []
+
+    def counted(df, *name):
+        out = materialize(df, *name)
+        sizes.append(out.count())
+        return out
+
+    for m in modules:
+        monkeypatch.setattr(m, "materialize", counted)
+    return sizes
+
+
+def test_common_words_list_no_pairs(spark, monkeypatch):
+    sizes = sizes_written(monkeypatch, resolve)
+    new = spark.range(300).selectExpr("id AS new_id", "concat('Tracked Vehicles a', lpad(id, 4, '0')) AS name")
+    org = spark.range(300).selectExpr("id", "concat('b', lpad(id, 4, '0'), ' Tracked Vehicles') AS canonical_name", "CAST(NULL AS string) AS norm_name")
+    got = resolve.weak_matches(new, org).collect()
+    assert len(got) == 300 and {(r.org_id, r.tier, r.score) for r in got} == {(0, "brand", 0.5)}
+    assert sizes and max(sizes) <= 1200
+
+
+def test_weak_matches_of_long_names_and_rules(spark):
+    rng = random.Random(5)
+    words = ["rapid", "alpha", "kran", "technik", "nord", "lift", "boden", "gmbh", "ost", "west", "berg", "tal", "bau", "werk", "rohr"]
+    pick = lambda: " ".join(rng.sample(words, rng.choice([1, 2, 3, 4, 9, 11, 14])))
+    names, orgs = [(i, pick()) for i in range(60)], [(i, pick()) for i in range(60)]
+    new = spark.createDataFrame(names, "new_id bigint, name string")
+    org = spark.createDataFrame(orgs, "id bigint, canonical_name string").withColumn("norm_name", norm(F.col("canonical_name")))
+    assert {r.new_id: (r.org_id, r.tier) for r in resolve.weak_matches(new, org).collect()} == weak(names, orgs)
+    apart = lambda a, b: ("kran" in a and "lift" in b) or ("lift" in a and "kran" in b)
+    want = {i: hit for i, n in names for hit in weak([(i, n)], [(j, o) for j, o in orgs if not apart(n, o)]).values()}
+    assert {r.new_id: (r.org_id, r.tier) for r in resolve.weak_matches(new, org, rules=[("kran", "lift")]).collect()} == want
+    # one normal name, two spellings: each with its own tokens
+    org = spark.createDataFrame([(1, "Zzz", "x"), (2, "Rapid Kran", "x")], "id bigint, canonical_name string, norm_name string")
+    assert [tuple(r) for r in resolve.weak_matches(spark.createDataFrame([(7, "kran rapid")], "new_id bigint, name string"), org).collect()] == [(7, 2, "brand", 1.0)]
