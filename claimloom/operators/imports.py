@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.text import brand_tokens, norm, register_tokens, value_or_null
 from claimloom.operators.claims import fill_from_claims
 from claimloom.operators.components import connected_components
-from claimloom.operators.resolve import batch_names, name_matches, token_pairs, weak_names
+from claimloom.operators.resolve import batch_names, best_weak, name_matches, token_pairs
 from claimloom.session import materialize
 
 FILLED = ("lei", "vat", "hr_number", "domain", "address", "status")
@@ -32,12 +32,10 @@ def import_outcomes(rows: DataFrame, org: DataFrame, least: float = 0.34, rules:
     own = org.select(F.col("id").alias("r"), F.lit(-1).cast("bigint").alias("since"), F.coalesce("norm_name", norm(F.col("canonical_name"))).alias("rn"), F.col("canonical_name").alias("name"))
     older = own.union(made.select((-F.col("ord") - 1).alias("r"), F.col("ord").cast("bigint").alias("since"), F.col("ln").alias("rn"), "name"))
     older = materialize(older.select("r", "since", "rn", F.array_sort(brand_tokens(F.col("name"))).alias("rt")), "older")
-    pairs = weak_names(made.select("ln"), older.select("rn", "rt"), least, rules)
-    # the oldest holder of a name stands for it: if that is younger than a row, all are
-    first = older.groupBy("rn").agg(F.min_by(F.struct("r", "since"), F.struct("since", "r")).alias("x")).select("rn", "x.r", "x.since")
-    met = made.select("ord", "ln").join(pairs, "ln").join(first, "rn").where("since < ord")
-    order = F.struct((-F.col("score")).alias("s"), "since", "r", (F.col("tier") != "substring").alias("t"))
-    weak = met.groupBy("ord").agg(F.min_by(F.struct(F.col("r").alias("matched"), "tier", "score"), order).alias("x")).select("ord", "x.*")
+    # the oldest holder of a name or token set stands for it: if that is younger than a row, all are
+    mine, o = materialize(made.select(F.col("ord").alias("l"), "ln"), "made"), F.struct("since", "r").alias("o")
+    weak = best_weak(mine, older.select("rn", "rt", o), least, rules, F.col("o")["since"] < F.col("l"))
+    weak = weak.select(F.col("l").alias("ord"), F.col("o")["r"].alias("matched"), "tier", "score")
     merged = known.select("ord", F.lit("merged-norm").alias("outcome"), "matched", F.lit("norm").alias("tier"), F.lit(1.0).alias("score"))
     again = fold.where("outcome <> 'created'").select("ord", "outcome", (-F.col("target") - 1).alias("matched"), F.lit("norm").alias("tier"), F.lit(1.0).alias("score"))
     new = made.select("ord").join(weak, "ord", "left").select("ord", F.when(F.col("matched").isNull(), "created").otherwise("review").alias("outcome"), "matched", F.coalesce("tier", F.lit("none")).alias("tier"), F.coalesce("score", F.lit(0.0)).alias("score"))

@@ -310,3 +310,14 @@ def test_weak_matches_of_long_names_and_rules(spark):
     # one normal name, two spellings: each with its own tokens
     org = spark.createDataFrame([(1, "Zzz", "x"), (2, "Rapid Kran", "x")], "id bigint, canonical_name string, norm_name string")
     assert [tuple(r) for r in resolve.weak_matches(spark.createDataFrame([(7, "kran rapid")], "new_id bigint, name string"), org).collect()] == [(7, 2, "brand", 1.0)]
+
+
+def test_import_lists_no_pairs(spark, monkeypatch):
+    from claimloom.operators import imports
+
+    sizes = sizes_written(monkeypatch, resolve, imports)
+    org = spark.range(200).selectExpr("id", "concat('b', lpad(id, 4, '0'), ' Tracked Vehicles') AS canonical_name", "CAST(NULL AS string) AS norm_name", "'DE' AS country")
+    new = spark.range(200).selectExpr("id AS ord", "concat(if(id < 100, 'Tracked Vehicles a', 'Crawler Cranes a'), lpad(id, 4, '0')) AS name", "'DE' AS country")
+    got = {r.ord: (r.outcome, r.matched) for r in imports.import_outcomes(new, org).collect()}
+    assert got == {i: ("review", 0) if i < 100 else ("created", None) if i == 100 else ("review", -101) for i in range(200)}
+    assert sizes and max(sizes) <= 1200
