@@ -9,25 +9,27 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.similarity import matching_ratio
 from claimloom.functions.text import application, brand_tokens, norm
-from claimloom.operators.resolve import containment_pairs, token_pairs
+from claimloom.operators.resolve import best_token_sets, containment_pairs
 from claimloom.session import materialize
 
 
-def similar_tokens(left: DataFrame, right: DataFrame, least: float = 0.85, most_longer: int = 2) -> DataFrame:
+def similar_tokens(left: DataFrame, right: DataFrame, least: float = 0.85, most_longer: int = 2, most_lost: int = 3) -> DataFrame:
     """``(a, b, score)``: all pairs of different words ``left(a)``, ``right(b)`` of that Ratcliff-Obershelp ratio whose
     lengths differ by at most ``most_longer``.
 
-    Exact by pieces: the letters that two words of T letters in all have in common under a ratio r are a common
-    subsequence, so (1 - r) T deletions and insertions lead from one to the other.  Cut into one piece more than
-    that, some piece of ``b`` stands unchanged in ``a``, shifted by no more than that.  Pieces are joined with the
-    lengths of both words and their number; the letters in common must then suffice for the ratio before it is
-    computed, in Python.
+    Exact: the letters that two words of T letters in all have in common under a ratio r are a common subsequence, so
+    u deletions and insertions lead from one to the other: the largest number of (1 - r) T at most that is even or odd
+    as T is.  The lengths tell how many letters each word may lose.  Where it is ``most_lost`` at most, words meet under
+    what is left of them without so many letters.  Else by pieces: cut into u + 1 of them, some piece of ``b`` stands
+    unchanged in ``a``, shifted by no more than the letters lost.  The letters in common must then suffice for the
+    ratio before it is computed, in Python.
     """
     n = F.length("w")
     lengths = F.filter(F.sequence(n - most_longer, n + most_longer), lambda x: x > 0)
 
     def edits(total: Column) -> Column:
-        return F.floor((1 - least) * total + 1e-9).cast("int")
+        most = F.floor((1 - least) * total + 1e-9).cast("int")
+        return most - (total - most) % 2
 
     def pieces(length: Column, total: Column) -> Column:
         """Array of (number, start, length) of the pieces of a word."""
@@ -40,8 +42,9 @@ def similar_tokens(left: DataFrame, right: DataFrame, least: float = 0.85, most_
 
     def sought(lb: Column) -> Column:
         u = edits(lb + n)
+        lost, gained = F.shiftright(u - n + lb, 1), F.shiftright(u + n - lb, 1)
         of_piece = lambda p: F.transform(
-            F.filter(F.sequence(p["at"] - u, p["at"] + u), lambda i: (i >= 0) & (i + p["size"] <= n)), lambda i: F.xxhash64(n, lb, p["k"], F.substring("w", i + 1, p["size"]))
+            F.filter(F.sequence(p["at"] - lost, p["at"] + gained), lambda i: (i >= 0) & (i + p["size"] <= n)), lambda i: F.xxhash64(n, lb, p["k"], F.substring("w", i + 1, p["size"]))
         )
         return F.flatten(F.transform(pieces(lb, lb + n), of_piece))
 
@@ -52,7 +55,21 @@ def similar_tokens(left: DataFrame, right: DataFrame, least: float = 0.85, most_
 
     def keyed(df: DataFrame, c: str, keys: Callable[[Column], Column]) -> DataFrame:
         w = df.select(F.col(c).alias("w")).where("w <> ''")
-        return w.select(F.col("w").alias(c), F.explode(F.array_distinct(F.flatten(F.transform(lengths, keys)))).alias("key"))
+        lost = lambda x: F.shiftright(edits(n + x) + n - x, 1)
+        other = lambda x: F.shiftright(edits(n + x) - n + x, 1)
+        few = lambda x: F.greatest(lost(x), other(x)) <= most_lost
+        near = F.filter(lengths, lambda x: edits(n + x) >= F.abs(n - x))
+        w = w.withColumn("near", near).withColumn("v0", F.array("w"))
+        w = w.withColumn("need", F.coalesce(F.array_max(F.transform(F.filter("near", few), lost)), F.lit(0)))
+        for d in range(most_lost):
+            one_less = lambda v: F.transform(F.sequence(F.lit(1), F.length(v)), lambda i: F.concat(F.substring(v, F.lit(1), i - 1), F.substring(v, i + 1, F.length(v))))
+            less = F.array_distinct(F.flatten(F.transform(F.filter(f"v{d}", lambda v: v != ""), one_less)))
+            w = w.withColumn(f"v{d + 1}", F.when(F.col("need") > d, less).otherwise(F.array().cast("array<string>")))
+        left_over = F.array(*[F.col(f"v{d}") for d in range(most_lost + 1)])
+        pair = (lambda x: (n, x)) if c == "a" else (lambda x: (x, n))
+        met = lambda x: F.transform(F.element_at(left_over, lost(x) + 1), lambda v: F.xxhash64(*pair(x), v))
+        of = lambda x: F.when(few(x), met(x)).otherwise(keys(x))
+        return w.select(F.col("w").alias(c), F.explode(F.array_distinct(F.flatten(F.transform("near", of)))).alias("key"))
 
     # the keys are many times the words that the planner sees: never broadcast them
     met = keyed(left, "a", sought).hint("merge").join(keyed(right, "b", stored), "key").select("a", "b").distinct()
@@ -85,18 +102,25 @@ def firm_matches(cand: DataFrame, firms: DataFrame, least_tokens: float = 0.34,
     out = out.union(level(inside, "exact"))
     rest = rest.join(inside.select("cand_id"), "cand_id", "left_anti").select("cand_id", F.array_sort("t").alias("t"))
     rest = materialize(rest, "rest")
-    sets = f.select("firm_id", F.array_sort("t").alias("t")).where("size(t) > 0").groupBy("t").agg(F.min("firm_id").alias("r"))
-    tok = token_pairs(rest.select(F.col("t").alias("l"), F.col("t").alias("lt")).distinct(), sets.select("r", F.col("t").alias("rt")), least_tokens)
-    tok = tok.groupBy("l").agg(F.min_by(F.struct("r", "score"), F.struct((-F.col("score")).alias("s"), "r")).alias("x"))
+    no_flags = F.lit("")
+    sets = f.where("size(t) > 0").groupBy(F.array_sort("t").alias("rt")).agg(F.min("firm_id").alias("o")).withColumn("rf", no_flags)
+    mine = rest.where("size(t) > 0").select(F.col("t").alias("l"), F.col("t").alias("lt"), no_flags.alias("lf")).distinct()
+    tok = best_token_sets(mine, materialize(sets, "sets"), least_tokens).select("l", F.struct(F.col("o").alias("r"), "score").alias("x"))
     tok = materialize(rest.join(tok.withColumnRenamed("l", "t"), "t").select("cand_id", F.col("x.r").alias("firm_id"), F.col("x.score").alias("score")), "tokens")
     out = out.union(level(tok, "exact"))
     if spelling:
         rest = materialize(rest.join(tok.select("cand_id"), "cand_id", "left_anti"), "rest")
         b = materialize(f.select("firm_id", F.explode("t").alias("b")).groupBy("b").agg(F.min("firm_id").alias("firm_id")), "tokens")
-        near = similar_tokens(rest.select(F.explode("t").alias("a")).distinct(), b.select("b"), least_ratio)
+        # an equal word has the best ratio there is; only the ratio of very long words to themselves may be less
+        equal = rest.select("cand_id", F.explode("t").alias("b")).where("length(b) < 200").join(b, "b")
+        equal = materialize(equal.groupBy("cand_id").agg(F.min("firm_id").alias("firm_id")).withColumn("score", F.lit(1.0)), "equal")
+        odd = rest.join(equal, "cand_id", "left_anti").union(rest.where(F.exists("t", lambda w: F.length(w) >= 200))).distinct()
+        odd = materialize(odd, "rest")
+        near = similar_tokens(odd.select(F.explode("t").alias("a")).distinct(), b.select("b"), least_ratio)
         pick = F.min_by(F.struct("firm_id", "score"), F.struct((-F.col("score")).alias("s"), "firm_id")).alias("x")
         best = near.join(b, "b").groupBy("a").agg(pick).select("a", "x.*")
-        typo = rest.select("cand_id", F.explode("t").alias("a")).join(best, "a").groupBy("cand_id").agg(pick).select("cand_id", "x.firm_id", "x.score")
+        typo = odd.select("cand_id", F.explode("t").alias("a")).join(best, "a").select("cand_id", "firm_id", "score").union(equal.select("cand_id", "firm_id", "score"))
+        typo = typo.groupBy("cand_id").agg(pick).select("cand_id", "x.firm_id", "x.score")
         out = out.union(level(materialize(typo, "spelling"), "similar"))
     none = c.join(out.select("cand_id"), "cand_id", "left_anti").select("cand_id", F.lit(None).cast("bigint").alias("firm_id"), F.lit("none").alias("level"), F.lit(0.0).alias("score"))
     return out.union(none)

@@ -321,3 +321,26 @@ def test_import_lists_no_pairs(spark, monkeypatch):
     got = {r.ord: (r.outcome, r.matched) for r in imports.import_outcomes(new, org).collect()}
     assert got == {i: ("review", 0) if i < 100 else ("created", None) if i == 100 else ("review", -101) for i in range(200)}
     assert sizes and max(sizes) <= 1200
+
+
+def test_firms_list_no_pairs(spark, monkeypatch):
+    sizes = sizes_written(monkeypatch, resolve, firms)
+    tried = []
+    monkeypatch.setattr(firms, "similar_tokens", lambda a, b, *x, _f=firms.similar_tokens: (tried.append({r.a for r in a.collect()}), _f(a, b, *x))[1])
+    f = spark.range(200).selectExpr("id AS firm_id", "concat('b', lpad(id, 4, '0'), ' Tracked Vehicles') AS name")
+    c = spark.range(200).selectExpr("id AS cand_id", "concat(if(id < 100, 'Tracked Vehicles a', 'Tracked a'), lpad(id, 4, '0')) AS name")
+    c = c.union(spark.createDataFrame([(900, "Trackd Werk")], "cand_id bigint, name string"))
+    got = {r.cand_id: (r.firm_id, r.level, r.score) for r in firms.firm_matches(c, f).collect()}
+    near = SequenceMatcher(None, "trackd", "tracked").ratio()
+    assert got == {i: (0, "exact", 0.5) if i < 100 else (0, "similar", 1.0) for i in range(200)} | {900: (0, "similar", near)}
+    assert max(sizes) <= 1200 and tried == [{"trackd", "werk"}]
+
+
+@pytest.mark.parametrize("least", [0.85, 0.7])
+def test_similar_tokens_of_other_ratios(spark, least):
+    rng = random.Random(13)
+    left = {"".join(rng.choice("abc") for _ in range(rng.randrange(6, 11))) for _ in range(120)}
+    right = {"".join(rng.choice("abc") for _ in range(rng.randrange(6, 11))) for _ in range(120)} | set(list(left)[:20])
+    one = lambda ws, c: spark.createDataFrame([(w,) for w in ws], f"{c} string")
+    got = {(r.a, r.b) for r in firms.similar_tokens(one(left, "a"), one(right, "b"), least).collect()}
+    assert got == {(a, b) for a in left for b in right if abs(len(a) - len(b)) <= 2 and SequenceMatcher(None, a, b).ratio() >= least}
