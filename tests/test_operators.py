@@ -344,3 +344,14 @@ def test_similar_tokens_of_other_ratios(spark, least):
     one = lambda ws, c: spark.createDataFrame([(w,) for w in ws], f"{c} string")
     got = {(r.a, r.b) for r in firms.similar_tokens(one(left, "a"), one(right, "b"), least).collect()}
     assert got == {(a, b) for a in left for b in right if abs(len(a) - len(b)) <= 2 and SequenceMatcher(None, a, b).ratio() >= least}
+
+
+def test_merge_review_lists_no_pairs(spark, monkeypatch, tmp_path):
+    from claimloom.plans import resolve_plan
+
+    sizes = sizes_written(monkeypatch, resolve)
+    spark.range(150).selectExpr("id AS seed_id", "concat('Tracked Vehicles a', lpad(id, 4, '0')) AS oem").write.parquet(f"{tmp_path}/seed.parquet")
+    spark.range(150).selectExpr("id", "concat('b', lpad(id, 4, '0'), ' Tracked Vehicles') AS canonical_name", "CAST(NULL AS string) AS norm_name").write.parquet(f"{tmp_path}/organization.parquet")
+    got = [tuple(r) for r in resolve_plan.export_merge_review(spark, str(tmp_path)).collect()]
+    assert got == [(f"Tracked Vehicles a{i:04}", "b0000 Tracked Vehicles", "brand", 0.5, i) for i in range(150)]
+    assert sizes and max(sizes) <= 600
