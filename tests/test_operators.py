@@ -355,3 +355,14 @@ def test_merge_review_lists_no_pairs(spark, monkeypatch, tmp_path):
     got = [tuple(r) for r in resolve_plan.export_merge_review(spark, str(tmp_path)).collect()]
     assert got == [(f"Tracked Vehicles a{i:04}", "b0000 Tracked Vehicles", "brand", 0.5, i) for i in range(150)]
     assert sizes and max(sizes) <= 600
+
+
+def test_dedup_status_lists_no_pairs(spark, monkeypatch):
+    sizes = sizes_written(monkeypatch, resolve, firms)
+    customers = spark.range(120).selectExpr("id AS firm_id", "concat('b', lpad(id, 4, '0'), ' Tracked') AS name", "'Kran' AS application")
+    tried = []
+    monkeypatch.setattr(firms, "similar_tokens", lambda a, b, *x, _f=firms.similar_tokens: (tried.append(a.count()), _f(a, b, *x))[1])
+    cand = spark.range(120).selectExpr("id AS cand_id", "concat('Tracked a', lpad(id, 4, '0')) AS name", "'Kran' AS application", "CAST(NULL AS string) AS model")
+    got = firms.dedup_status(cand, customers)
+    assert {(r.status, r.firm_id, r.score) for r in got.collect()} == {("check", 0, 1.0)}
+    assert tried == [0] and max(sizes) <= 400
