@@ -13,6 +13,7 @@ from claimloom.operators import ordered
 from claimloom.operators import resolve as R
 from claimloom.plans.catalog import query
 from claimloom.plans.sources_plan import table
+from claimloom.session import materialize
 
 PH = "(" + ", ".join("'" + p.replace("'", "''") + "'" for p in T.PLACEHOLDERS) + ")"
 _WS = r"[\s\x{00A0}\x{0085}\x{200B}\x{FEFF}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -270,10 +271,14 @@ def _global_number(df: DataFrame, key: str) -> DataFrame:
     f"WITH {_WEAK} SELECT s.oem AS new_name, o.canonical_name AS matched_name, w.tier, round(w.score, 2) AS score, w.seed_id FROM w JOIN seed s USING (seed_id) JOIN organization o ON o.id = w.id WHERE k = 1"
 )
 def export_merge_review(spark: SparkSession, d: str) -> DataFrame:
-    w = er_weak_candidates(spark, d)
+    """The weak candidates with their names, best first."""
+    # written before it is sorted: the sort looks for its ranges in a run of its own
+    w = materialize(er_weak_candidates(spark, d), "weak")
     s = table(spark, d, "seed").select(F.col("seed_id").alias("new_id"), F.col("oem").alias("new_name"))
     o = table(spark, d, "organization").select(F.col("id").alias("org_id"), F.col("canonical_name").alias("matched_name"))
-    return w.join(s, "new_id").join(o, "org_id").select("new_name", "matched_name", "tier", F.round("score", 2).alias("score"), F.col("new_id").alias("seed_id")).orderBy(F.desc("score"), "seed_id")
+    # the product is rounded, as in SQL: 23 / 40 * 100 is a little less than 57.5
+    score = (F.round(F.col("score") * 100) / 100).alias("score")
+    return w.join(s, "new_id").join(o, "org_id").select("new_name", "matched_name", "tier", score, F.col("new_id").alias("seed_id")).orderBy(F.desc("score"), "seed_id")
 
 
 @query(

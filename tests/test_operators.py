@@ -366,3 +366,20 @@ def test_dedup_status_lists_no_pairs(spark, monkeypatch):
     got = firms.dedup_status(cand, customers)
     assert {(r.status, r.firm_id, r.score) for r in got.collect()} == {("check", 0, 1.0)}
     assert tried == [0] and max(sizes) <= 400
+
+
+def test_merge_review_rounds_as_sql(spark, tmp_path):
+    from claimloom.plans import catalog, resolve_plan
+    from tests.compare import differences, tables
+
+    # all shares of which the two ways of rounding differ have 23 / 40 in them
+    names = [(i, "x" * a, "x" * a + "y" * (b - a)) for i, (a, b) in enumerate([(23, 40), (46, 80), (69, 120), (33, 40), (5, 8), (7, 8)])]
+    for at, (key, own, other) in {"seed": ("seed_id", "oem", 1), "organization": ("id", "canonical_name", 2)}.items():
+        df = spark.createDataFrame([(n[0], n[other].translate({ord("x"): 97 + n[0], ord("y"): 110 + n[0]})) for n in names], f"{key} bigint, {own} string")
+        df.withColumn("norm_name", F.lit(None).cast("string")).coalesce(1).write.parquet(f"{tmp_path}/{at}.parquet")
+    got = resolve_plan.export_merge_review(spark, str(tmp_path))
+    assert [(r.seed_id, r.score) for r in got.collect()] == [(5, 0.88), (3, 0.83), (4, 0.63), (0, 0.57), (1, 0.57), (2, 0.57)]
+    con = tables("nowhere")
+    for at in ("seed", "organization"):
+        con.execute(f"CREATE VIEW {at} AS SELECT * FROM '{tmp_path}/{at}.parquet/*.parquet'")
+    assert differences(got, con, catalog.oracle_sql()["export_merge_review"]) == ""
