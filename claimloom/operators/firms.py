@@ -54,7 +54,7 @@ def similar_tokens(left: DataFrame, right: DataFrame, least: float = 0.85, most_
         return F.transform(s, lambda x, i: F.concat(x, (i - F.array_position(s, x)).cast("string")))
 
     def keyed(df: DataFrame, c: str, keys: Callable[[Column], Column]) -> DataFrame:
-        w = df.select(F.col(c).alias("w")).where("w <> ''")
+        w = df.select(F.col(c).alias("w")).where("w <> ''").repartition(df.sparkSession.sparkContext.defaultParallelism)
         lost = lambda x: F.shiftright(edits(n + x) + n - x, 1)
         other = lambda x: F.shiftright(edits(n + x) - n + x, 1)
         few = lambda x: F.greatest(lost(x), other(x)) <= most_lost
@@ -85,8 +85,9 @@ def firm_matches(cand: DataFrame, firms: DataFrame, least_tokens: float = 0.34,
     of five letters or more (the first firm, 0.9), best token overlap, best ratio of two tokens.  Each stage sees
     what the earlier ones left; every different name and token is compared once, however many rows hold it.
     """
-    c = cand.select("cand_id", norm(F.col("name")).alias("n"), brand_tokens(F.col("name")).alias("t"))
-    f = firms.select("firm_id", norm(F.col("name")).alias("n"), brand_tokens(F.col("name")).alias("t"))
+    # the stages read the names again and again: they are taken apart once
+    named = lambda x, key: materialize(x.select(key, norm(F.col("name")).alias("n"), F.array_sort(brand_tokens(F.col("name"))).alias("t")), "named")
+    c, f = named(cand, "cand_id"), named(firms, "firm_id")
     c_some = c.where("n <> ''")
     level = lambda x, name: x.select("cand_id", "firm_id", F.lit(name).alias("level"), "score")
     exact = c_some.join(f.groupBy("n").agg(F.max("firm_id").alias("firm_id")), "n").withColumn("score", F.lit(1.0))
@@ -100,10 +101,10 @@ def firm_matches(cand: DataFrame, firms: DataFrame, least_tokens: float = 0.34,
     inside = inside.groupBy("l").agg(F.min("r").alias("firm_id")).select(F.col("l").alias("n"), "firm_id", F.lit(0.9).alias("score"))
     inside = materialize(rest.join(inside, "n").select("cand_id", "firm_id", "score"), "inside")
     out = out.union(level(inside, "exact"))
-    rest = rest.join(inside.select("cand_id"), "cand_id", "left_anti").select("cand_id", F.array_sort("t").alias("t"))
+    rest = rest.join(inside.select("cand_id"), "cand_id", "left_anti").select("cand_id", "t")
     rest = materialize(rest, "rest")
     no_flags = F.lit("")
-    sets = f.where("size(t) > 0").groupBy(F.array_sort("t").alias("rt")).agg(F.min("firm_id").alias("o")).withColumn("rf", no_flags)
+    sets = f.where("size(t) > 0").groupBy(F.col("t").alias("rt")).agg(F.min("firm_id").alias("o")).withColumn("rf", no_flags)
     mine = rest.where("size(t) > 0").select(F.col("t").alias("l"), F.col("t").alias("lt"), no_flags.alias("lf")).distinct()
     tok = best_token_sets(mine, materialize(sets, "sets"), least_tokens).select("l", F.struct(F.col("o").alias("r"), "score").alias("x"))
     tok = materialize(rest.join(tok.withColumnRenamed("l", "t"), "t").select("cand_id", F.col("x.r").alias("firm_id"), F.col("x.score").alias("score")), "tokens")
@@ -135,8 +136,7 @@ def known_applications(cand: DataFrame, known: DataFrame, least_ratio: float = 0
     plain = (F.col("a") == F.col("b")) | (long & (F.contains("a", F.col("b")) | F.contains("b", F.col("a"))))
     # different pairs only: the ratio is computed once for each
     texts = x.where(~plain).select("a", "b").distinct().withColumn("r", matching_ratio(F.col("a"), F.col("b"))).where(F.col("r") >= least_ratio)
-    close = x.where(~plain).join(texts, ["a", "b"])
-    return x.where(plain).select("cand_id", "firm_id").union(close.select("cand_id", "firm_id")).distinct()
+    return x.join(texts, ["a", "b"], "left").where(plain | F.col("r").isNotNull()).select("cand_id", "firm_id").distinct()
 
 
 def contained_pattern(names: DataFrame, patterns: DataFrame, most: int = 1000) -> DataFrame:
@@ -170,7 +170,7 @@ def dedup_status(cand: DataFrame, customers: DataFrame, **limits: float) -> Data
     application of a firm.  No firm is new; a firm by spelling only is to be checked; a firm that has the application
     or model is a duplicate, else a new application.
     """
-    known = customers.select("firm_id", norm(F.col("name")).alias("n"), "application").where("n <> ''")
+    known = materialize(customers.select("firm_id", norm(F.col("name")).alias("n"), "application").where("n <> ''"), "known")
     firms = known.groupBy("n").agg(F.max("firm_id").alias("firm_id"))
     match = materialize(firm_matches(cand.select("cand_id", "name"), firms.select("firm_id", F.col("n").alias("name")), **limits), "firms")
     asked = cand.select("cand_id", F.explode(F.array("application", "model")).alias("application")).join(match.where("firm_id is not null").select("cand_id", "firm_id"), "cand_id")

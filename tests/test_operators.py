@@ -383,3 +383,26 @@ def test_merge_review_rounds_as_sql(spark, tmp_path):
     for at in ("seed", "organization"):
         con.execute(f"CREATE VIEW {at} AS SELECT * FROM '{tmp_path}/{at}.parquet/*.parquet'")
     assert differences(got, con, catalog.oracle_sql()["export_merge_review"]) == ""
+
+
+def test_dedup_status_takes_names_apart_once(spark, monkeypatch):
+    from claimloom.session import materialize
+
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for m in (resolve, firms):
+        monkeypatch.setattr(m, "materialize", lambda df, *name: (plans.append(plan(df)), materialize(df, *name))[1])
+    customers = spark.createDataFrame([(1, "Rapid Technic AG", "Kran"), (2, "Lindner Kranbau", "Bagger")], "firm_id bigint, name string, application string")
+    cand = spark.createDataFrame([(1, "rapid technic ag", "Mulcher", "Kran 2"), (2, "Lindnre Werk", "Bagger", None), (3, "Rapid", None, "Baggr")], "cand_id bigint, name string, application string, model string")
+    got = firms.dedup_status(cand, customers)
+    assert {(r.cand_id, r.status, r.firm_id) for r in got.collect()} == {(1, "duplicate", 1), (2, "check" if SequenceMatcher(None, "lindnre", "lindner").ratio() >= 0.85 else "new", 2), (3, "new application", 1)}
+    legal_forms = [p for p in plans if "gmbh" in p]  # a plan that takes names apart has their pattern
+    assert len(legal_forms) == 2 and "gmbh" not in plan(got)
+
+
+def test_words_are_spread_before_their_keys(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(firms, "materialize", lambda df, name: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    one = lambda c: spark.createDataFrame([("rapid",)], f"{c} string").coalesce(1)
+    assert [r.score for r in firms.similar_tokens(one("a"), one("b")).collect()] == [1.0]
+    assert seen[0].count(f"Repartition {spark.sparkContext.defaultParallelism}, true") == 2
